@@ -52,39 +52,37 @@ class Trailing:
 def trailing(df: DataFrame, measures: dict[str, Column], wanted: dict[str, Trailing]) -> DataFrame:
     """Add the aggregates in ``wanted`` (output name -> spec) over (SKU, LOCATION) by DATE.
 
-    Nulls are skipped; a frame without any value gives a null sum and mean.
+    Nulls are skipped: they add nothing to a sum (0 over a frame of nulls), and a
+    mean over no value is null.  Helper columns are dropped at once, since the
+    width of the rows is what the windows above pay for.
     """
     order, history = pair_order(), pair_history()
-    used = sorted({t.measure for t in wanted.values()})
     frames = sorted({(t.measure, t.rows) for t in wanted.values()})
-    keep = [F.col(name) for name in df.columns]
+    summed = {t.measure for t in wanted.values() if t.kind != "count"}
+    counted = {t.measure for t in wanted.values() if t.kind != "sum"}
 
-    running = []
-    for m in used:
-        running.append(F.sum(measures[m]).over(history).alias(f"__s_{m}"))
-        running.append(F.count(measures[m]).over(history).alias(f"__n_{m}"))
-    totals = df.select(*keep, *running)
+    running = {f"__s_{m}": F.sum(measures[m]).over(history) for m in sorted(summed)}
+    running |= {f"__n_{m}": F.count(measures[m]).over(history) for m in sorted(counted)}
 
-    def since(column: str, n: int) -> Column:
-        return F.coalesce(F.col(column), F.lit(0)) - F.coalesce(
-            F.lag(column, n).over(order), F.lit(0)
-        )
-
-    diffs = []
+    zero = F.lit(0)
+    recent = {}
     for m, n in frames:
-        diffs.append(since(f"__s_{m}", n).alias(f"__s_{m}_{n}"))
-        diffs.append(since(f"__n_{m}", n).alias(f"__n_{m}_{n}"))
-    recent = totals.select(*keep, *diffs)
-
-    def output(name: str, t: Trailing) -> Column:
-        total, count = F.col(f"__s_{t.measure}_{t.rows}"), F.col(f"__n_{t.measure}_{t.rows}")
-        if t.kind == "count":
-            return count.alias(name)
-        if t.kind == "mean":
-            return F.try_divide(total.cast("double"), count.cast("double")).alias(name)
-        return F.when(count > 0, total).alias(name)
+        for total in (f"__s_{m}", f"__n_{m}"):
+            if total in running:
+                now, before = F.col(total), F.lag(total, n).over(order)
+                recent[f"{total}_{n}"] = F.coalesce(now, zero) - F.coalesce(before, zero)
 
-    return recent.select(*keep, *(output(name, t) for name, t in wanted.items()))
+    def output(t: Trailing) -> Column:
+        if t.kind == "mean":
+            return F.try_divide(
+                F.col(f"__s_{t.measure}_{t.rows}").cast("double"),
+                F.col(f"__n_{t.measure}_{t.rows}").cast("double"),
+            )
+        return F.col(f"__{'n' if t.kind == 'count' else 's'}_{t.measure}_{t.rows}")
+
+    out = df.withColumns(running).withColumns(recent)
+    out = out.withColumns({name: output(t) for name, t in wanted.items()})
+    return out.drop(*running, *recent)
 
 
 def optional(df: DataFrame, name: str, dtype: str = "bigint") -> Column:

@@ -122,13 +122,9 @@ def index_scale(df: DataFrame) -> DataFrame:
         *(F.max(x).alias(f"__high_{s}") for s, x in level.items()),
     )
     joined = df.join(extremes, [c.LOCATION, c.DATE], "left")
-    return joined.select(
-        *df.columns,
-        *(
-            min_max(x, F.col(f"__low_{s}"), F.col(f"__high_{s}")).alias(s)
-            for s, x in level.items()
-        ),
-    )
+    return joined.withColumns(
+        {s: min_max(x, F.col(f"__low_{s}"), F.col(f"__high_{s}")) for s, x in level.items()}
+    ).drop(*extremes.columns[2:])
 
 
 def footfall_by_day(day: DataFrame) -> DataFrame:
@@ -209,12 +205,8 @@ def attach_store_context(df: DataFrame, context: DataFrame) -> DataFrame:
     }
     # rows without a category take part in no category scale
     scale_7 = F.when(F.col(c.CAT).isNotNull(), F.col("categorical_shrinkage_scale_7"))
-    return joined.select(
-        *df.columns,
-        "footfall_min", "footfall_max", "daily_trans", "footfall_scale", "footfall_index",
-        F.coalesce(scale_7, F.lit(0.0)).alias("categorical_shrinkage_scale_7"),
-        *(x.alias(s) for s, x in scales.items()),
-    )
+    scales["categorical_shrinkage_scale_7"] = F.coalesce(scale_7, F.lit(0.0))
+    return joined.withColumns(scales).drop(*(n for n in renamed.columns if n.startswith("__")))
 
 
 def shelf_life(panel: DataFrame) -> DataFrame:
@@ -234,8 +226,6 @@ def shelf_life(panel: DataFrame) -> DataFrame:
     fell = F.col(c.END_INTRANS) < F.col(c.START_INTRANS)
     batch = F.when(fell, F.col(c.START_INTRANS) - F.col(c.END_INTRANS))
     out_today = F.col(c.SALES_UNITS) + F.col(c.RETURN_UNITS) - F.col(c.AUDIT_ADJ_UNITS)
-    names = panel.columns
-
     step = panel.withColumns(
         {
             "CUMULATIVE_SOH": seeded(F.sum(c.BEGIN_SOH).over(history), c.SHELF_STATE[0]),
@@ -261,13 +251,9 @@ def shelf_life(panel: DataFrame) -> DataFrame:
             "REV_CUMULATIVE_SOH_MAX": F.greatest(F.max(rev).over(history), F.col("__high_seed")),
         }
     )
-    return step.select(
-        *names,
-        "CUMULATIVE_SOH", "CUMULATIVE_DAILY_OUT", "CARRY_FORWARD_CUMULATIVE_SOH",
-        "CUMULATIVE_BATCH_QTY", "REV_CUMULATIVE_SOH_MIN", "REV_CUMULATIVE_SOH_MAX",
-        min_max(rev, F.col("REV_CUMULATIVE_SOH_MIN"), F.col("REV_CUMULATIVE_SOH_MAX")).alias(
-            "REV_CUMULATIVE_SOH_SCALE"
-        ),
+    scale = min_max(rev, F.col("REV_CUMULATIVE_SOH_MIN"), F.col("REV_CUMULATIVE_SOH_MAX"))
+    return step.withColumn("REV_CUMULATIVE_SOH_SCALE", scale).drop(
+        "REV_CUMULATIVE_SOH", "__carry_seed", "__low_seed", "__high_seed"
     )
 
 
@@ -281,7 +267,6 @@ def decay(state: DataFrame) -> DataFrame:
     0 until the frame holds 84 values.  Decay values carry two decimals and are
     summed as whole hundredths.
     """
-    names = state.columns
     previous = state.withColumns(
         {
             f"__{d}_prev": F.lag(F.round(F.col(f"meta_{d}_decay_decimal") * 100).cast("bigint"), 1).over(
@@ -295,22 +280,25 @@ def decay(state: DataFrame) -> DataFrame:
         wanted[f"__{d}_sum"] = Trailing(d, DECAY_ROWS)
         wanted[f"__{d}_n"] = Trailing(d, DECAY_ROWS, "count")
     summed = trailing(previous, {d: F.col(f"__{d}_prev") for d in DECAYS}, wanted)
-    return summed.select(
-        *names,
-        *(
-            F.when(F.col(f"__{d}_n") < DECAY_ROWS, F.lit(0.0))
-            .otherwise(fixed_ratio(F.col(f"__{d}_sum"), F.lit(100 * DECAY_ROWS)))
-            .alias(f"{d}_decay_decimal")
+    return summed.withColumns(
+        {
+            f"{d}_decay_decimal": F.when(F.col(f"__{d}_n") < DECAY_ROWS, F.lit(0.0)).otherwise(
+                fixed_ratio(F.col(f"__{d}_sum"), F.lit(100 * DECAY_ROWS))
+            )
             for d in DECAYS
-        ),
-    )
+        }
+    ).drop(*wanted, *(f"__{d}_prev" for d in DECAYS))
+
 
+def level_ratios(df: DataFrame) -> DataFrame:
+    """Ratios between trailing levels; nothing later needs the levels themselves."""
+    return stock_ratio(sales_ratio(sell_through(inventory_turnover(df))))
 
-def daily_block(df: DataFrame) -> DataFrame:
-    """All row-wise daily features of a frame that carries the rolling block."""
-    for step in (
-        day_of_week, clamp_eop_soh, inventory_turnover, sell_through, sales_ratio,
-        stock_ratio, sale_day_ratio, oos_ratio, event_flags,
-    ):
-        df = step(df)
-    return df
+
+def day_features(df: DataFrame) -> DataFrame:
+    """The remaining row-wise features.
+
+    Kept apart from ``level_ratios``: one projection of all of them compiles to a
+    method above 8000 bytes of bytecode, which the JVM then only interprets.
+    """
+    return event_flags(oos_ratio(sale_day_ratio(clamp_eop_soh(day_of_week(df)))))

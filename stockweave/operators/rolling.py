@@ -100,7 +100,6 @@ def ledger_balance(panel: DataFrame) -> DataFrame:
     history = pair_history()
     net = F.col(c.ONHAND_RECORDED) - (F.col(c.SALES_UNITS) - F.col(c.AUDIT_ADJ_UNITS))
     seed = F.coalesce(F.first(optional(panel, c.LEDGER_STATE)).over(history), F.lit(0))
-    names = panel.columns
     run = panel.withColumn("cumulative_daily_ledger_diff", F.sum(net).over(history) + seed)
     sums = {}
     for n in (7, 14, 28):
@@ -108,14 +107,12 @@ def ledger_balance(panel: DataFrame) -> DataFrame:
         sums[f"__eop_{n}"] = Trailing("eop", n)
     sources = {"ledger": F.col("cumulative_daily_ledger_diff"), "eop": F.col(c.EOP_SOH)}
     summed = trailing(run, sources, sums)
-    return summed.select(
-        *names,
-        "cumulative_daily_ledger_diff",
-        *(
-            ratio_neg(F.col(f"__ledger_{n}"), F.col(f"__eop_{n}")).alias(f"LEDGER_BAL_RATIO_{n}")
+    return summed.withColumns(
+        {
+            f"LEDGER_BAL_RATIO_{n}": ratio_neg(F.col(f"__ledger_{n}"), F.col(f"__eop_{n}"))
             for n in (7, 14, 28)
-        ),
-    )
+        }
+    ).drop(*sums)
 
 
 def categorical_shrinkage(panel: DataFrame) -> DataFrame:
@@ -146,7 +143,11 @@ def category_scale(day: DataFrame) -> DataFrame:
     )
 
 
+def trailing_block(panel: DataFrame) -> DataFrame:
+    """Trailing aggregates, opening stock and last sale day of each row."""
+    return trailing_features(opening_stock(last_sale_day(panel)))
+
+
 def rolling_block(panel: DataFrame) -> DataFrame:
     """All trailing features of a slice except those that need the store's other rows."""
-    out = opening_stock(last_sale_day(shrinkage_qty(panel)))
-    return ledger_balance(trailing_features(out))
+    return ledger_balance(trailing_block(shrinkage_qty(panel)))

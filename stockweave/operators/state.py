@@ -39,11 +39,9 @@ def decay_state(panel: DataFrame) -> DataFrame:
 def pair_state(panel: DataFrame) -> DataFrame:
     """State columns that depend on the pair's own rows only."""
     full = decay_state(ledger_balance(shelf_life(panel)))
-    return full.select(
-        *panel.columns,
-        *(F.col(n.removeprefix("meta_")).cast("double").alias(n) for n in c.SHELF_STATE),
-        F.col("cumulative_daily_ledger_diff").cast("double").alias(c.LEDGER_STATE),
-        *(f"meta_{d}_{part}" for d in DECAYS for part in ("cur_day_count", "decay_decimal")),
+    return full.withColumns(
+        {n: F.col(n.removeprefix("meta_")).cast("double") for n in c.SHELF_STATE}
+        | {c.LEDGER_STATE: F.col("cumulative_daily_ledger_diff").cast("double")}
     )
 
 

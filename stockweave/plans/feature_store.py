@@ -7,17 +7,44 @@ from pyspark.sql import functions as F
 
 from stockweave import columns as c
 from stockweave.operators.daily import (
+    DECAYS,
+    PEER_SCALES,
     attach_store_context,
-    daily_block,
+    day_features,
     decay,
     footfall_by_day,
+    level_ratios,
     shelf_life,
     store_context,
 )
-from stockweave.operators.rolling import daily_filter, rolling_block, rolling_filter
+from stockweave.operators.rolling import (
+    EOP_MEANS,
+    IN_OUT,
+    SALES_SUMS,
+    SALES_WINDOWS,
+    STOCK_WINDOWS,
+    daily_filter,
+    ledger_balance,
+    rolling_filter,
+    trailing_block,
+)
 from stockweave.operators.state import decay_state, state_before
 
 OUTPUT = c.KEY + c.FEATURES
+FROM_STORE = ["price_scale_7", "sale_scale_28", "categorical_shrinkage_scale_7",
+              "footfall_scale", "footfall_index"]
+KEPT = [n for n in c.FEATURES if n not in FROM_STORE]
+# trailing columns only the level ratios read
+USED_UP = [*SALES_SUMS, *IN_OUT, *SALES_WINDOWS, *STOCK_WINDOWS, *EOP_MEANS] + [
+    f"itr_avg_start_{n}" for n in (7, 14, 28)
+]
+# columns of the audited panel the features read
+INPUT = c.KEY + [
+    c.LOAD_DATE, c.CAT, c.DEPT, c.LOB, c.SALES_COUNT, c.SALES_UNITS, c.GROSS_SALES,
+    c.RETURN_UNITS, c.IN_TRANSIT, c.POS_ADJ, c.NEG_ADJ, c.UNIT_RETAIL, c.BEGIN_SOH, c.END_SOH,
+    c.START_INTRANS, c.END_INTRANS, c.EOP_SOH, c.BOOK, c.AUDIT_FLAG, c.AUDIT_ADJ_UNITS,
+    c.ONHAND_RECORDED,
+]
 
 
 def historical_features(audited: DataFrame) -> DataFrame:
@@ -27,10 +54,24 @@ def historical_features(audited: DataFrame) -> DataFrame:
     wide step is the join of the store context, whose aggregate reads five
     columns of the panel.
     """
-    rolled = rolling_block(audited)
+    decayed = with_decay(audited.select(*INPUT))
+    rolled = trailing_block(decayed)
     context = store_context(rolled)
-    paired = decay(decay_state(shelf_life(daily_block(rolled))))
-    return attach_store_context(paired, context).select(*OUTPUT)
+    # Ratios right after the trailing sums, so that the sums do not travel on.
+    ratios = level_ratios(rolled).drop(*USED_UP)
+    features = day_features(ledger_balance(shelf_life(ratios)))
+    features = features.select(*c.KEY, *KEPT, *PEER_SCALES.values())
+    return attach_store_context(features, context).select(*OUTPUT)
+
+
+def with_decay(panel: DataFrame) -> DataFrame:
+    """Decay features of a panel that starts without state.
+
+    They need two more orders of the pair's rows, so they come first, while the
+    rows are still narrow; their working columns do not travel on.
+    """
+    helpers = [f"meta_{d}_{part}" for d in DECAYS for part in ("cur_day_count", "decay_decimal")]
+    return decay(decay_state(panel)).drop(*helpers)
 
 
 def incremental_features(audited: DataFrame, state: DataFrame, as_of: str) -> DataFrame:
@@ -45,7 +86,7 @@ def incremental_features(audited: DataFrame, state: DataFrame, as_of: str) -> Da
 
     ledger = state_before(state, [c.LEDGER_STATE], start)
     recent = rolling_filter(audited, as_of).join(ledger, c.PAIR, "left")
-    rolled = rolling_block(recent).drop(c.LEDGER_STATE)
+    rolled = ledger_balance(trailing_block(recent)).drop(c.LEDGER_STATE)
 
     rows = daily_filter(rolled, as_of)
     store = state_before(state, c.FOOTFALL_STATE, today, [c.LOCATION])
@@ -65,10 +106,10 @@ def incremental_features(audited: DataFrame, state: DataFrame, as_of: str) -> Da
     decayed = decay(
         state.select(
             *c.KEY,
-            *(f"meta_{d}_{part}" for d in ("sale", "transfer") for part in ("cur_day_count", "decay_decimal")),
+            *(f"meta_{d}_{part}" for d in DECAYS for part in ("cur_day_count", "decay_decimal")),
         )
     ).where(F.col(c.DATE) == today).select(*c.KEY, "sale_decay_decimal", "transfer_decay_decimal")
 
-    features = shelf_life(daily_block(seeded)).drop(*c.DAILY_STATE)
+    features = day_features(level_ratios(shelf_life(seeded))).drop(*c.DAILY_STATE)
     joined = features.join(decayed, c.KEY, "left")
     return attach_store_context(joined, context).select(*OUTPUT)
