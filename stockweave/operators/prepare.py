@@ -23,6 +23,11 @@ def location_groups(facts: DataFrame) -> DataFrame:
     return facts.select(c.LOCATION_GROUP).distinct()
 
 
+def table_route(tables: DataFrame, masters: list[str]) -> DataFrame:
+    """Master feeds are stored whole, fact feeds by location group."""
+    return tables.withColumn("route", F.when(F.col("feed").isin(masters), "master").otherwise("fact"))
+
+
 def denormalize(snapshot: DataFrame, facts: dict[str, DataFrame], master: DataFrame) -> DataFrame:
     """Snapshot rows with the totals of each fact and the item's master data.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stockweave import columns as c
 from stockweave.operators.intake import FEEDS
-from stockweave.sources.tables import store_lines, table
+from stockweave.sources.tables import table
 
 
 def dropped_files(spark: SparkSession, root: str) -> DataFrame:
@@ -62,9 +62,8 @@ def actuals(panel: DataFrame) -> DataFrame:
     )
 
 
-def fact_tables(spark: SparkSession, root: str) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+def fact_tables(lines: DataFrame) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     """Snapshot spine, line-level facts and the item master, before denormalising."""
-    lines = store_lines(spark, root)
     units, returned, line_no = F.col("units"), F.col("return_flag") == "R", F.col("line_no")
 
     def fact(name: str, amount: Column, when: Column) -> DataFrame:
