@@ -70,7 +70,7 @@ def range_bounds(pred: Column, book: Column) -> dict[str, Column]:
     one apart (after the first step), then a negative one is lifted to 0 at the
     cost of one more above.
     """
-    centre = F.rint(F.rint(pred * 100) / F.lit(100.0) * book)
+    centre = F.rint(F.rint(pred * 100) / F.lit(100.0) * book) + F.lit(0.0)  # no negative zero
     margin = centre * F.lit(0.15)
     low, high = F.rint(centre - margin), F.rint(centre + margin)
     apart = F.when(low == high, low - 2).otherwise(low)
