@@ -62,28 +62,33 @@ def score_with_models(df: DataFrame, models: dict[str, object], features: list[s
     return out.drop("__x")
 
 
-def range_bounds(pred: Column, book: Column) -> dict[str, Column]:
-    """Quantity range around a predicted share of the book quantity.
+def range_postprocess(df: DataFrame) -> DataFrame:
+    """Quantity range around a predicted share (``orig_pred``) of the book quantity.
 
     Halves round to even throughout, on the scaled value for the two decimals.
     The lower bound is widened first where both bounds meet, then where they lie
     one apart (after the first step), then a negative one is lifted to 0 at the
     cost of one more above.
+
+    One projection per step: nested into one expression, each step would repeat
+    the previous ones several times over.
     """
-    centre = F.rint(F.rint(pred * 100) / F.lit(100.0) * book) + F.lit(0.0)  # no negative zero
+    share = F.rint(F.col("orig_pred") * 100) / F.lit(100.0)
+    centre, low, high = F.col("orig_pred_temp"), F.col("orig_pred_low"), F.col("orig_pred_high")
     margin = centre * F.lit(0.15)
-    low, high = F.rint(centre - margin), F.rint(centre + margin)
-    apart = F.when(low == high, low - 2).otherwise(low)
-    apart = F.when(high - apart == 1, apart - 1).otherwise(apart)
-    return {
-        "orig_pred_temp": centre,
-        "orig_pred_low": F.when(apart < 0, F.lit(0.0)).otherwise(apart),
-        "orig_pred_high": F.when(apart < 0, high + 1).otherwise(high),
-    }
-
-
-def range_postprocess(df: DataFrame) -> DataFrame:
-    return df.withColumns(range_bounds(F.col("orig_pred"), F.col(c.BOOK)))
+    # adding 0 turns a negative zero into a plain one
+    out = df.withColumn("orig_pred_temp", F.rint(share * F.col(c.BOOK)) + F.lit(0.0))
+    out = out.withColumns(
+        {"orig_pred_low": F.rint(centre - margin), "orig_pred_high": F.rint(centre + margin)}
+    )
+    out = out.withColumn("orig_pred_low", F.when(low == high, low - 2).otherwise(low))
+    out = out.withColumn("orig_pred_low", F.when(high - low == 1, low - 1).otherwise(low))
+    return out.withColumns(
+        {
+            "orig_pred_low": F.when(low < 0, F.lit(0.0)).otherwise(low + F.lit(0.0)),
+            "orig_pred_high": F.when(low < 0, high + 1).otherwise(high) + F.lit(0.0),
+        }
+    )
 
 
 def oos_flag(df: DataFrame) -> DataFrame:
@@ -102,11 +107,16 @@ def cascade_predict(scored: DataFrame, limits: Thresholds = Thresholds()) -> Dat
             "orig_pred": F.when(out, zero).when(low_stock, F.col("low_pred")).otherwise(F.col("high_pred")),
         }
     )
-    ranged = range_bounds(F.col("orig_pred"), F.col(c.BOOK))
-    ranged["orig_pred_temp"] = F.when(F.col("step") != 1, ranged["orig_pred_temp"])
-    for bound in ("orig_pred_low", "orig_pred_high"):
-        ranged[bound] = F.when(F.col("step") == 1, zero).otherwise(ranged[bound])
-    return oos_flag(staged.withColumns(ranged))
+    flagged = F.col("step") == 1
+    return oos_flag(
+        range_postprocess(staged).withColumns(
+            {
+                "orig_pred_temp": F.when(~flagged, F.col("orig_pred_temp")),
+                "orig_pred_low": F.when(flagged, zero).otherwise(F.col("orig_pred_low")),
+                "orig_pred_high": F.when(flagged, zero).otherwise(F.col("orig_pred_high")),
+            }
+        )
+    )
 
 
 def prediction_layer(predicted: DataFrame, layer: str) -> DataFrame:

@@ -164,10 +164,6 @@ def received_by_date(parsed: DataFrame) -> DataFrame:
     )
 
 
-def feeds_frame(like: DataFrame, feeds: list[str]) -> DataFrame:
-    return like.sparkSession.createDataFrame([(f,) for f in feeds], "feed string")
-
-
 def missing_feeds(parsed: DataFrame, required: list[str] = REQUIRED_FEEDS) -> DataFrame:
     """(date_token, feed) rows that were expected and not received."""
     expected = parsed.select("date_token").distinct().select(
@@ -209,16 +205,18 @@ def match_date_formats(files: DataFrame, dates: DataFrame) -> DataFrame:
 def date_gap_fill(first: DataFrame, second: DataFrame) -> DataFrame:
     """Union of two date sets; when both hold dates, every day from first to last."""
     column = "file_date"
-    span = (
-        first.select(column, F.lit(1).alias("__side"))
-        .unionByName(second.select(column, F.lit(2).alias("__side")))
+    span = first.select(column, F.lit(1).alias("__side")).unionByName(
+        second.select(column, F.lit(2).alias("__side"))
     )
+    # the set of distinct days is bounded by the calendar
     ends = span.agg(
-        F.min(column).alias("low"), F.max(column).alias("high"), F.count_distinct("__side").alias("sides")
+        F.min(column).alias("low"),
+        F.max(column).alias("high"),
+        F.count_distinct("__side").alias("sides"),
+        F.collect_set(column).alias("days"),
     )
-    filled = ends.where(F.col("sides") == 2).select(F.explode(F.sequence("low", "high")).alias(column))
-    lone = span.select(column).distinct().join(ends.where(F.col("sides") < 2).select(), how="cross")
-    return filled.unionByName(lone)
+    days = F.when(F.col("sides") == 2, F.sequence("low", "high")).otherwise(F.col("days"))
+    return ends.select(F.explode(days).alias(column))
 
 
 def exclude_holidays(dates: DataFrame, holidays: list[str] = HOLIDAYS) -> DataFrame:

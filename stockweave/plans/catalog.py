@@ -89,9 +89,7 @@ def scan_partition(spark, root):
 
 def _stored_layers(spark, root):
     path = fresh_path(spark, "layers")
-    rows = predicted(spark, root)
-    groups = rows.select(*c.KEY, c.LOCATION_GROUP)
-    layers = cascade.prediction_layers(rows).join(groups, c.KEY)
+    layers = prepare.with_location_group(cascade.prediction_layers(predicted(spark, root)))
     storage.sink_parquet(layers, path, [c.LOCATION_GROUP, "layer"])
     return path
 
@@ -540,6 +538,32 @@ CASCADE_OUTPUT = [
 over_panel("cascade_predict", lambda df: df, CASCADE_OUTPUT, predicted)
 
 
+@query
+def cascade_models(spark, root):
+    """The cascade on scores of fitted models, the older nine tenths of each pair as training data."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = panel(spark, root)
+    truth = derived.scored_panel(rows).select(
+        *c.KEY, "BINARY_TARGET_CLASSIFICATION", "BINARY_HL_TARGET_CLASSIFICATION", "TARGET_REGRESSION"
+    )
+    parts = written(split.split_incremental(rows.join(truth, c.KEY)), "split")
+    features = [c.BEGIN_SOH, c.END_SOH, c.SALES_UNITS, c.RETURN_UNITS, c.IN_TRANSIT]
+    train = VectorAssembler(inputCols=features, outputCol="__x").transform(split.split_filter(parts, "train"))
+    small = {"featuresCol": "__x", "maxIter": 3, "maxDepth": 3, "seed": 1}
+    low = F.col("BINARY_HL_TARGET_CLASSIFICATION") == 1
+    models = {
+        "binary": GBTClassifier(labelCol="BINARY_TARGET_CLASSIFICATION", **small).fit(train),
+        "hl": GBTClassifier(labelCol="BINARY_HL_TARGET_CLASSIFICATION", **small).fit(train),
+        "low": GBTRegressor(labelCol="TARGET_REGRESSION", **small).fit(train.where(low)),
+        "high": GBTRegressor(labelCol="TARGET_REGRESSION", **small).fit(train.where(~low)),
+    }
+    scored = cascade.score_with_models(split.split_filter(parts), models, features)
+    return cascade.cascade_predict(scored).select(*c.KEY, *CASCADE_OUTPUT)
+
+
 @query
 def range_postprocess(spark, root):
     rows = derived.scored_panel(panel(spark, root)).withColumn("orig_pred", F.col("high_pred"))

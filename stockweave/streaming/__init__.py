@@ -1,0 +1,5 @@
+"""No operator of this package is a stream.
+
+The analytics are daily batches.  What a stream would keep as state is the state
+table of ``operators.state``, read and advanced by ``plans.feature_store``.
+"""
