@@ -16,7 +16,7 @@ from stockweave.functions.exprs import (
     ratio,
     shrinkage,
 )
-from stockweave.functions.windows import Trailing, optional, pair_history, pair_order, trailing
+from stockweave.functions.windows import Trailing, optional, pair_history, trailing
 from stockweave.operators.rolling import SHORT_LONG, category_scale
 
 
