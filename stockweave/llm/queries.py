@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockweave.llm import byte_bpe, token_counts
+from stockweave.llm import byte_bpe, impact_topk, secret_scan, token_counts
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op2_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    return secret_scan.scan(table(spark, root, "documents"))
+
+
+def op5_impact_topk(spark: SparkSession, root: str) -> DataFrame:
+    vectors = impact_topk.quantised(table(spark, root, "embeddings"), "vec_id", "embedding", 256.0)
+    return impact_topk.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
+
+
 def op8_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encoded_digests(table(spark, root, "documents"), path)
@@ -24,8 +34,10 @@ def op9_token_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
+    "op5_impact_topk": op5_impact_topk,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {"op5_impact_topk": impact_topk.SQL}
