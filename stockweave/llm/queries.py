@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import byte_bpe, impact_topk, secret_scan, token_counts
+from stockweave.llm import byte_bpe, impact_topk, near_dup, secret_scan, token_counts
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -33,11 +33,16 @@ def op9_token_counts(spark: SparkSession, root: str) -> DataFrame:
     return token_counts.token_counts(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_near_dup(spark: SparkSession, root: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op5_impact_topk": op5_impact_topk,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
+    "op10_near_dup": op10_near_dup,
 }
 
-STATEMENTS: dict[str, str] = {"op5_impact_topk": impact_topk.SQL}
+STATEMENTS: dict[str, str] = {"op5_impact_topk": impact_topk.SQL, "op10_near_dup": near_dup.SQL}
