@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import byte_bpe, impact_topk, near_dup, secret_scan, token_counts
+from stockweave.llm import byte_bpe, impact_topk, near_dup, secret_scan, substring_dedup, suffix_dedup, token_counts
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -19,6 +19,22 @@ def op2_secret_scan(spark: SparkSession, root: str) -> DataFrame:
     return secret_scan.scan(table(spark, root, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(table(spark, root, "documents"))
+    return out.select("doc_id", F.col("n").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(table(spark, root, "documents"))
+    return out.select(
+        "doc_id",
+        F.col("n").alias("n_bytes"),
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_impact_topk(spark: SparkSession, root: str) -> DataFrame:
     vectors = impact_topk.quantised(table(spark, root, "embeddings"), "vec_id", "embedding", 256.0)
     return impact_topk.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
@@ -39,10 +55,16 @@ def op10_near_dup(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_impact_topk": op5_impact_topk,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_near_dup": op10_near_dup,
 }
 
-STATEMENTS: dict[str, str] = {"op5_impact_topk": impact_topk.SQL, "op10_near_dup": near_dup.SQL}
+STATEMENTS: dict[str, str] = {
+    "op3_substring_dedup": substring_dedup.SQL,
+    "op5_impact_topk": impact_topk.SQL,
+    "op10_near_dup": near_dup.SQL,
+}
