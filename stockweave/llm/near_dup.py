@@ -8,7 +8,8 @@ and the links are confirmed on the full sets.
 No bucket is expanded into pairs.  Equal sets are one class first.  In round one each member
 of a band bucket meets only the bucket's smallest member; confirmed links give components.
 In round two only buckets that still hold several components are looked at, in blocks, and
-only pairs from different components that pass the estimate come out.  So every pair that
+only pairs from different components come out that pass the estimate and an upper bound of
+the intersection.  So every pair that
 shares a bucket is either confirmed, refuted, or inside one component already.
 """
 
@@ -148,20 +149,55 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, part: int, whole: i
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _sketches(texts: DataFrame, width: int) -> DataFrame:
+    """(id, sketch): the low 32 bits of every shingle hash of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, data, offsets in hashing.chunks(batch.column(1)):
+                sets = shingle_sets(data, offsets, width)
+                packed = pa.array([s.astype(np.uint32).tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), packed], ["id", "sketch"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, sketch binary")
+
+
+SLOTS = 1 << 20
+
+
 def _across(cell: pd.DataFrame, cut: float, part: int, whole: int) -> pd.DataFrame:
-    """Pairs of one block of a bucket that lie in different components and whose estimate
-    reaches the cut.  Each component's rows meet the rows of later ones only."""
+    """Pairs of one block of a bucket that lie in different components and may be linked.
+
+    A pair is looked at in the first band it shares only.  Its estimate must reach the cut,
+    and an upper bound of the intersection (shingles of one whose low bits occur in the
+    other) must reach the threshold, so hardly any pair comes out that is not a link.
+    """
     cell = cell.drop_duplicates(["id", "side"])
-    out = []
     left, right = cell[cell["side"] != 1], cell[cell["side"] != 0]
-    regs = {k: np.frombuffer(b"".join(x["registers"]), np.uint16).reshape(-1, BUCKETS) for k, x in (("l", left), ("r", right)) if len(x)}
-    if len(regs) == 2:
+    out = []
+    if len(left) and len(right):
+        mine, theirs = (np.frombuffer(b"".join(x["registers"]), np.uint16).reshape(-1, BUCKETS) for x in (left, right))
+        band = int(cell["band"].iloc[0])
+        sketches = [np.frombuffer(x, np.uint32) % SLOTS for x in right["sketch"]]
         ids, comps, n = (right[c].to_numpy() for c in ("id", "component", "n"))
-        for i, (a, c, size) in enumerate(zip(left["id"].to_numpy(), left["component"].to_numpy(), left["n"].to_numpy())):
-            other = np.flatnonzero((comps != c) & (whole * np.minimum(n, size) >= part * np.maximum(n, size)))
-            if len(other):
-                good = other[estimate(regs["l"][i][None, :], regs["r"][other], chance(int(size), int(size))) >= cut]
-                out.append(pd.DataFrame({"a": np.minimum(a, ids[good]), "b": np.maximum(a, ids[good])}))
+        table = np.zeros(SLOTS, bool)
+        rows = zip(*(left[c] for c in ("id", "component", "n", "sketch")))
+        for i, (own, component, size, sketch) in enumerate(rows):
+            other = np.flatnonzero((comps != component) & (whole * np.minimum(n, size) >= part * np.maximum(n, size)))
+            if not len(other):
+                continue
+            equal = mine[i][None, :] == theirs[other]
+            first = equal.reshape(len(other), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            expected = chance(int(size), int(size))
+            other = other[(first == band) & ((equal.mean(axis=1) - expected) / (1 - expected) >= cut)]
+            if not len(other):
+                continue
+            slots = np.frombuffer(sketch, np.uint32) % SLOTS
+            table[slots] = True
+            common = np.array([np.count_nonzero(table[sketches[j]]) for j in other])
+            table[slots] = False
+            good = other[whole * common >= part * (size + n[other] - common)]
+            out.append(pd.DataFrame({"a": np.minimum(own, ids[good]), "b": np.maximum(own, ids[good])}))
     return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
 
 
@@ -194,6 +230,7 @@ def near_duplicates(
     )
     bands = reps.select("id", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"), "registers").select(
         "id",
+        "band",
         F.xxhash64("band", F.substring("registers", F.col("band") * (2 * ROWS) + 1, F.lit(2 * ROWS))).alias("bucket"),
     )
     shared = bands.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last").drop("last")
@@ -219,7 +256,7 @@ def near_duplicates(
     links = written(_confirm(tried, texts, width, part, whole), "links")
     groups = components(links)
 
-    labelled = crowded.select("bucket", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = crowded.select("bucket", "band", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("bucket").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")
     ).where("x < y")
@@ -230,13 +267,16 @@ def near_duplicates(
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = open_rows.withColumn("own", own).withColumn("other", other).select(
         "bucket",
+        "band",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
         "id",
         "component",
     )
-    cells = dealt.join(reps, "id")
+    dealt = written(dealt, "cells")
+    sketched = written(_sketches(texts.join(dealt.select("id").distinct(), "id"), width), "sketches")
+    cells = dealt.join(reps, "id").join(sketched, "id")
     rest = cells.groupBy("bucket", "i", "j").applyInPandas(lambda c: _across(c, cut, part, whole), "a long, b long")
     rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
     more = written(_confirm(written(rest, "rest"), texts, width, part, whole), "more-links")
