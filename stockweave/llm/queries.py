@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import byte_bpe, impact_topk, near_dup, secret_scan, substring_dedup, suffix_dedup, token_counts
+from stockweave.llm import byte_bpe, impact_topk, near_dup, secret_scan, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 def op2_secret_scan(spark: SparkSession, root: str) -> DataFrame:
     return secret_scan.scan(table(spark, root, "documents"))
 
@@ -54,6 +58,7 @@ def op10_near_dup(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
