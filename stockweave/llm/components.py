@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.sources.shared import written
+from stockweave.llm.store import stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -38,10 +38,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     end is seen from a count and a hash sum of the edges.  Rounds grow with the logarithm
     of the longest path; running out of them raises an error, never a partial result.
     """
-    current = written(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
+    current = stored(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
     seen = None
     for _ in range(rounds):
-        current = written(_star(_star(current, True), False), "stars")
+        current = stored(_star(_star(current, True), False), "stars")
         state = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == seen:
             ends = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()

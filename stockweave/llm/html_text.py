@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.sources.shared import written
+from stockweave.llm.store import stored
 
 # Elements by their role in HTML, and words in class, id and role attributes
 # that mark parts around an article.
@@ -248,7 +248,7 @@ def main_text(
     )
     order = Window.partitionBy("host").orderBy(F.desc("weight"), "path")
     ranked = votes(rows).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most_paths)
-    winners = written(
+    winners = stored(
         ranked.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths")), "paths"
     )
     small = winners.count() <= broadcast_hosts

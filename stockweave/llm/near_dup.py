@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from stockweave.llm import hashing
 from stockweave.llm.components import components
-from stockweave.sources.shared import written
+from stockweave.llm.store import stored
 
 BUCKETS = 128
 MANTISSA = 10
@@ -222,10 +222,10 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     cut = part / whole - margin
-    signed = written(signatures(docs, id_col, text_col, width), "signatures")
+    signed = stored(signatures(docs, id_col, text_col, width), "signatures")
     classes = signed.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"))
-    members = written(signed.select("id", "n", "digest").join(classes, "digest", "left").select("id", "n", "rep"), "members")
-    reps = written(
+    members = stored(signed.select("id", "n", "digest").join(classes, "digest", "left").select("id", "n", "rep"), "members")
+    reps = stored(
         signed.join(classes, "digest").where("id = rep").dropDuplicates(["id"]).select("id", "n", "registers"), "classes"
     )
     bands = reps.select("id", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"), "registers").select(
@@ -234,11 +234,11 @@ def near_duplicates(
         F.xxhash64("band", F.substring("registers", F.col("band") * (2 * ROWS) + 1, F.lit(2 * ROWS))).alias("bucket"),
     )
     shared = bands.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last").drop("last")
-    crowded = written(bands.join(shared, "bucket"), "buckets")  # (bucket, id, a)
+    crowded = stored(bands.join(shared, "bucket"), "buckets")  # (bucket, id, a)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(
         crowded.select("id").distinct(), "id"
     )
-    texts = written(texts.dropDuplicates(["id"]), "texts")
+    texts = stored(texts.dropDuplicates(["id"]), "texts")
 
     stars = crowded.where("id > a").select("a", F.col("id").alias("b")).distinct()
     left, right = (reps.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("registers").alias(f"r{k}")) for k in "ab")
@@ -252,8 +252,8 @@ def near_duplicates(
             yield batch.select([0, 1]).filter(pa.array(keep))
 
     signed_pairs = stars.join(left, "a").join(right, "b").select("a", "b", "ra", "rb", "na", "nb")
-    tried = written(signed_pairs.mapInArrow(likely, "a long, b long"), "stars-tried")
-    links = written(_confirm(tried, texts, width, part, whole), "links")
+    tried = stored(signed_pairs.mapInArrow(likely, "a long, b long"), "stars-tried")
+    links = stored(_confirm(tried, texts, width, part, whole), "links")
     groups = components(links)
 
     labelled = crowded.select("bucket", "band", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -274,12 +274,12 @@ def near_duplicates(
         "id",
         "component",
     )
-    dealt = written(dealt, "cells")
-    sketched = written(_sketches(texts.join(dealt.select("id").distinct(), "id"), width), "sketches")
+    dealt = stored(dealt, "cells")
+    sketched = stored(_sketches(texts.join(dealt.select("id").distinct(), "id"), width), "sketches")
     cells = dealt.join(reps, "id").join(sketched, "id")
     rest = cells.groupBy("bucket", "i", "j").applyInPandas(lambda c: _across(c, cut, part, whole), "a long, b long")
     rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
-    more = written(_confirm(written(rest, "rest"), texts, width, part, whole), "more-links")
+    more = stored(_confirm(stored(rest, "rest"), texts, width, part, whole), "more-links")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
     out = members.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")

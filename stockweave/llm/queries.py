@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import byte_bpe, html_text, impact_topk, near_dup, secret_scan, substring_dedup, suffix_dedup, token_counts, toxicity
+from stockweave.llm import byte_bpe, decontaminate, html_text, impact_topk, near_dup, secret_scan, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op5_impact_topk(spark: SparkSession, root: str) -> DataFrame:
     return impact_topk.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
 
 
+def op6_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
 def op7_html_text(spark: SparkSession, root: str) -> DataFrame:
     out = html_text.main_text(table(spark, root, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_impact_topk": op5_impact_topk,
+    "op6_decontaminate": op6_decontaminate,
     "op7_html_text": op7_html_text,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockweave.llm import hashing
-from stockweave.sources.shared import written
+from stockweave.llm.store import stored
 
 #: Rows of one task that are looked through together for keys that occur twice.
 LOCAL = 1 << 20
@@ -229,8 +229,8 @@ def verdicts(
     if not hot:
         return out
     warm = classes.join(F.broadcast(spark.createDataFrame([(k,) for k in hot], "key long")), "key", "left_semi")
-    parts = written(split_hot(warm, hot, unit), "parts")
-    inner = written(classes_of(parts), "part-classes")
+    parts = stored(split_hot(warm, hot, unit), "parts")
+    inner = stored(classes_of(parts), "part-classes")
     found = verdicts(parts, inner, unit, later, shard, shard_windows, depth - 1)
     back = _expanded(parts, inner, found, later, ["parent", "shift"])
     return out.unionByName(back.select(F.col("parent").alias("digest"), (F.col("shift") + F.col("off")).alias("off"), "n"))
@@ -241,9 +241,9 @@ def repeated(
 ) -> DataFrame:
     """(id, spans): for each text with repeated windows the stretches (first, n) of them."""
     rows = _rows(docs, id_col, text_col)
-    runs = written(segments(rows, shared_keys(rows, unit), unit), "runs")
-    classes = written(classes_of(runs), "classes")
-    found = written(verdicts(runs, classes, unit, later, shard, shard_windows), "verdicts")
+    runs = stored(segments(rows, shared_keys(rows, unit), unit), "runs")
+    classes = stored(classes_of(runs), "classes")
+    found = stored(verdicts(runs, classes, unit, later, shard, shard_windows), "verdicts")
     windows = _expanded(runs, classes, found, later, ["id", "start"])
     stretch = F.struct((F.col("start") + F.col("off")).alias("first"), F.col("n"))
     return windows.groupBy("id").agg(F.collect_set(stretch).alias("stretches"))

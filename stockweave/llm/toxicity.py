@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stockweave.llm.pretokens import Generations
-from stockweave.sources.shared import written
+from stockweave.llm.store import stored
 
 # Common English insults, and digits that stand for letters.
 INSULTS = [
@@ -158,7 +158,7 @@ def _mine(sample: DataFrame, most: int, least_score: float) -> list[str]:
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("p"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("q"),
     )
-    table = written(table.where("p >= 3 or term = ''"), "terms")
+    table = stored(table.where("p >= 3 or term = ''"), "terms")
     total = table.where("term = ''").first()
     if total is None or not total["p"] or not total["q"]:
         return []
@@ -279,7 +279,7 @@ def learn(
     chosen = learnable(labels, id_col, label_col).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # at most sample_rows pairs of id and label
-    sample = written(rows.join(F.broadcast(chosen), "id"), "labelled")
+    sample = stored(rows.join(F.broadcast(chosen), "id"), "labelled")
     mined = _mine(sample, most_terms, least_score)
     listed = ["=" + w for w in INSULTS if "=" + w not in mined] + ["@" + w for w in INSULTS]
     model = Model([*mined, *listed, *(name for name, _ in PATTERNS), SILENT])
@@ -330,7 +330,7 @@ def learn(
         model.rates = (counts + model.rates * 2) / (np.array([[(~gold).sum()], [gold.sum()]]) + 2)
         model.prior = float(np.clip(gold.mean(), 0.005, 0.5))
     model.rates = np.clip(model.rates, 1e-4, 1 - 1e-4)
-    seen = written(
+    seen = stored(
         rows.select("text").mapInArrow(patterns, "fired array<int>, n long").groupBy("fired").agg(F.sum("n").alias("n")), "patterns"
     )
     for _ in range(rounds):
