@@ -217,8 +217,8 @@ def near_duplicates(
     32 bands of 4 registers miss a pair at exactly 0.75 with probability 5e-6; the estimate
     must reach the threshold less ``margin``, over five standard deviations.  A null or
     empty text has no shingle and is linked with nothing.  Rows with equal text are one
-    class whatever their number; a repeated row stays repeated; a row without an id joins
-    its copies and, having none, stays alone and kept.  Other columns are not carried.
+    class whatever their number; a repeated row stays repeated; a row without an id is
+    linked with nothing, has no component, and is kept.  Other columns are not carried.
     """
     spark = docs.sparkSession
     cut = part / whole - margin
@@ -283,12 +283,12 @@ def near_duplicates(
     if not more.isEmpty():
         groups = components(links.unionByName(more))
     out = members.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    component = F.coalesce("component", "rep", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True) & F.col("rep").isNull()).alias("kept"),
+        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
 
 
