@@ -66,7 +66,7 @@ class Stretches:
         return mix((self.sums[width:] - self.sums[:-width]) * self.inverse[: len(self.sums) - width])
 
 
-def chunks(texts: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Split a column without nulls into runs of rows of about ``limit`` bytes (one row at
     least): (first row, bytes, offsets of the rows in them)."""
     texts = texts.cast(pa.large_binary())

@@ -31,7 +31,7 @@ from stockweave.llm import hashing
 from stockweave.llm.store import stored
 
 #: Rows of one task that are looked through together for keys that occur twice.
-LOCAL = 1 << 20
+LOCAL = 1 << 18
 TOP = np.uint64(1 << 63)
 
 

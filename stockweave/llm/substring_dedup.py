@@ -72,7 +72,8 @@ def _later(x: np.ndarray, by: int) -> np.ndarray:
 
 
 class FMIndex:
-    """Index of a sequence of symbols >= 1, for windows of ``width`` <= 64 symbols."""
+    """Index of a sequence of symbols >= 1 for windows of ``width`` <= 64 symbols.  The last
+    symbol must be one that no window holds."""
 
     def __init__(self, text: np.ndarray, width: int, owner: np.ndarray):
         ranks, span, at = text.astype(np.int64), 1, {}

@@ -76,7 +76,7 @@ def search_shard(cell: pd.DataFrame) -> pd.DataFrame:
     return repeats.result(cell, earlier, owner, offset)
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_windows: int = 1_000_000) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_windows: int = 500_000) -> DataFrame:
     """(id, n, n_removed, spans, kept): every text's UTF-8 bytes without those covered by a
     string of 100 bytes that also starts earlier: in a document with a smaller id, or in
     the same one at an earlier place, overlaps included.
