@@ -17,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -34,15 +35,18 @@ INSULTS = [
     "trash", "ugly", "vermin", "worthless",
 ]
 LEET = str.maketrans("013457@$", "oieastas")
-PATTERNS = [
-    ("shouting", re.compile(r"!!+|\?!")),
-    ("masked", re.compile(r"\b[^\W\d_]\*+[^\W\d_]", re.I)),
-    ("dismissal", re.compile(r"\b(?:shut up|get lost|drop dead|go to hell|screw you|you people)\b", re.I)),
-]
+DISMISSALS = ["shut up", "get lost", "drop dead", "go to hell", "screw you", "you people"]
+MASKED = re.compile(r"[^\W\d_]\*+[^\W\d_]")
+PATTERNS = {
+    "shouting": lambda text: "!!" in text or "?!" in text,
+    "masked": lambda text: "*" in text and MASKED.search(text) is not None,
+    "dismissal": lambda text: any(phrase in text for phrase in DISMISSALS),
+}
 WORD = re.compile(r"[^\W_]+")
+DIGIT_IN_WORD = re.compile(r"[a-z][013457@$]|[013457@$][a-z]")
 PREFIXES = (3, 4, 5, 6)
 HASHED = 1 << 13
-#: A word beginning is also listed as "k:beginning", which takes k distinct tokens.
+#: A word beginning is also listed as "k:beginning", which takes k distinct words.
 TIMES = (2, 3)
 SILENT = "silence"
 
@@ -54,13 +58,13 @@ def terms(word: str) -> list[str]:
 
 def text_terms(text: str | None) -> set[str]:
     """All names under which a text can be found."""
-    seen = Counter(t for token in tokens(text) for w in WORD.findall(token) for t in set(terms(w)))
+    seen = Counter(t for w in set(WORD.findall((text or "").lower())) for t in set(terms(w)))
     return {*seen, *(f"{k}:{t}" for t, n in seen.items() if n > 1 and t[0] != "=" for k in TIMES if n >= k)}
 
 
-def tokens(text: str | None) -> list[str]:
-    """Distinct stretches between white space, lower case, in sorted order."""
-    return sorted(set((text or "").lower().split()))
+def tokens(text: str | None) -> set[str]:
+    """Distinct stretches between white space, lower case."""
+    return set((text or "").lower().split())
 
 
 @dataclass
@@ -83,49 +87,78 @@ class Model:
             times, name = (int(v[0]), v[2:]) if v[1:2] == ":" else (1, v)
             self.base.setdefault(name, []).append((times, i))
 
-    def token(self, token: str) -> tuple[tuple[str, ...], tuple[int, ...]]:
-        """Listed names of a token, and its hashed beginnings."""
-        found, hashed = set(), []
-        words = WORD.findall(token)
-        spelt = WORD.findall(token.translate(LEET))
-        for word in words:
-            found.update(t for t in terms(word) if t in self.base)
-            hashed.append(zlib.crc32(word[:4].encode()) % HASHED)
-        if spelt != words:
-            found.update(t for w in spelt if (t := "@" + w) in self.base)
-        return tuple(sorted(found)), tuple(hashed)
-
-    def patterns(self, text: str) -> list[int]:
-        return [self.number[name] for name, expression in PATTERNS if expression.search(text)]
-
-    def vote(self, text: str | None, memo: dict) -> tuple[list[int], int, list[str]]:
-        """(voters that fire, number of tokens with a listed term, distinct tokens)."""
-        text = text or ""
-        own = tokens(text)
-        seen, hits = Counter(), 0
-        for token in own:
-            if names := memo[token][0]:
-                seen.update(names)
-                hits += 1
-        fired = {i for name, n in seen.items() for times, i in self.base[name] if n >= times}
-        if not fired:
-            fired.add(self.number[SILENT])
-        fired.update(self.patterns(text))
-        return sorted(fired), hits, own
-
     def logit(self, fired: list[int]) -> float:
         """Log-odds of the label model; a voter that does not fire abstains."""
         evidence = np.log(self.rates[1, fired] / self.rates[0, fired]) * self.discount[fired]
         return math.log(self.prior / (1 - self.prior)) + float(evidence.sum())
 
 
-class Memo(Generations):
-    def __init__(self, model: Model, size: int = 200_000):
-        super().__init__(size)
+class Finder:
+    """Finds the listed terms of a model in texts with one automaton over all of them."""
+
+    def __init__(self, model: Model):
         self.model = model
+        plain, spelt = {}, {}
+        for name in model.base:
+            if name not in PATTERNS and name != SILENT:
+                group = spelt if name[0] == "@" else plain
+                group.setdefault(name.lstrip("=@"), []).append(name)
+        self.plain, self.spelt = self._automaton(plain), self._automaton(spelt)
+
+    @staticmethod
+    def _automaton(names: dict[str, list[str]]):
+        out = ahocorasick.Automaton()
+        for text, group in names.items():
+            out.add_word(text, (len(text), tuple(group)))
+        if names:
+            out.make_automaton()
+        return out
+
+    @staticmethod
+    def _words(automaton, text: str) -> Iterator[tuple[str, int, str]]:
+        """(name, start, word) of every listed beginning of a word."""
+        size = len(text)
+        for last, (length, names) in automaton.iter(text) if len(automaton) else ():
+            start, stop = last - length + 1, last + 1
+            if start and text[start - 1].isalnum():
+                continue
+            while stop < size and text[stop].isalnum():
+                stop += 1
+            for name in names:
+                if name[0] not in "=@" or stop == last + 1:
+                    yield name, start, text[start:stop]
+
+    def vote(self, text: str | None) -> tuple[list[int], int]:
+        """(voters that fire, number of distinct words with a listed term)."""
+        text, model = (text or "").lower(), self.model
+        words: dict[str, set[str]] = {}
+        for name, _, word in self._words(self.plain, text):
+            words.setdefault(name, set()).add(word)
+        if DIGIT_IN_WORD.search(text):
+            for name, start, word in self._words(self.spelt, text.translate(LEET)):
+                if text[start : start + len(word)] != word:
+                    words.setdefault(name, set()).add(word)
+        fired = {i for name, found in words.items() for times, i in model.base[name] if len(found) >= times}
+        if not fired:
+            fired.add(model.number[SILENT])
+        fired.update(model.number[name] for name, shows in PATTERNS.items() if shows(text))
+        return sorted(fired), len(set().union(*words.values()))
+
+
+def hashed(token: str) -> list[int]:
+    """Hashed beginnings of the words of a token."""
+    return [zlib.crc32(word[:4].encode()) % HASHED for word in WORD.findall(token)]
+
+
+class Weights(Generations):
+    """Classifier weight of each token."""
+
+    def __init__(self, weights: np.ndarray, size: int = 200_000):
+        super().__init__(size)
+        self.weights = weights
 
-    def compute(self, token: str):
-        return self.model.token(token)
+    def compute(self, token: str) -> float:
+        return float(self.weights[hashed(token)].sum())
 
 
 def learnable(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
@@ -254,7 +287,7 @@ def _fit(features: pd.DataFrame, model: Model, rounds: int = 150, penalty: float
     model.weights, model.bias = weights, float(bias)
 
 
-def _amounts(fired: list[int], hits: int, n: int) -> list[float]:
+def _amounts(hits: int, n: int) -> list[float]:
     return [math.log1p(hits), 10 * hits / (n + 10)]
 
 
@@ -282,14 +315,14 @@ def learn(
     sample = stored(rows.join(F.broadcast(chosen), "id"), "labelled")
     mined = _mine(sample, most_terms, least_score)
     listed = ["=" + w for w in INSULTS if "=" + w not in mined] + ["@" + w for w in INSULTS]
-    model = Model([*mined, *listed, *(name for name, _ in PATTERNS), SILENT])
+    model = Model([*mined, *listed, *PATTERNS, SILENT])
     size = len(model.voters)
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, seen = Memo(model), Counter()
+        finder, seen = Finder(model), Counter()
         for batch in batches:
             for text in batch.column(0):
-                seen[tuple(model.vote(text.as_py(), memo)[0])] += 1
+                seen[tuple(finder.vote(text.as_py())[0])] += 1
             if len(seen) > 100_000:
                 yield _patterns(seen)
                 seen = Counter()
@@ -297,21 +330,22 @@ def learn(
 
     # rates where nothing is known: terms fire more often in toxic texts, silence in clean ones
     model.rates = np.tile(np.array([[0.002], [0.1]]), (1, size))
-    for name, _ in PATTERNS:
+    for name in PATTERNS:
         model.rates[:, model.number[name]] = 0.05, 0.06
     model.rates[:, model.number[SILENT]] = 0.95, 0.05
     model.discount = np.ones(size)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(model)
+        finder = Finder(model)
         for batch in batches:
             out = []
             for text in batch.column(0).to_pylist():
-                fired, hits, own = model.vote(text, memo)
+                fired, hits = finder.vote(text)
+                own = tokens(text)
                 scale = 1 / math.sqrt(max(1, len(own)))
-                hashed = Counter(h for t in own for h in memo[t][1])
-                index = [*fired, size, size + 1, *(size + 2 + h for h in hashed)]
-                value = [*([1.0] * len(fired)), *_amounts(fired, hits, len(own)), *(n * scale for n in hashed.values())]
+                seen = Counter(h for t in own for h in hashed(t))
+                index = [*fired, size, size + 1, *(size + 2 + h for h in seen)]
+                value = [*([1.0] * len(fired)), *_amounts(hits, len(own)), *(n * scale for n in seen.values())]
                 out.append((fired, index, value))
             fired, index, value = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -359,21 +393,20 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(model)
-        at = columns.index(text_col)
-        w = model.weights
-        words = Generations(200_000)
-        if w is not None:
-            words.compute = lambda token: sum(float(w[size + 2 + h]) for h in memo[token][1])
+        finder, at, w = Finder(model), columns.index(text_col), model.weights
+        words = Weights(w[size + 2 :]) if w is not None else {}
         for batch in batches:
             out = []
             for text in batch.column(at):
-                fired, hits, own = model.vote(text.as_py(), memo)
+                text = text.as_py()
+                fired, hits = finder.vote(text)
                 if w is None:
                     z = model.logit(fired)
                 else:
-                    z = model.bias + float(w[fired].sum()) + float(np.dot(w[size : size + 2], _amounts(fired, hits, len(own))))
-                    z += sum(map(words.__getitem__, own)) / math.sqrt(max(1, len(own)))
+                    own = tokens(text)
+                    z = model.bias + float(w[fired].sum()) + float(np.dot(w[size : size + 2], _amounts(hits, len(own))))
+                    # fsum: the order of a set of strings differs between processes
+                    z += math.fsum(map(words.__getitem__, own)) / math.sqrt(max(1, len(own)))
                 out.append(1 / (1 + math.exp(-max(-60.0, min(60.0, z)))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, out_col])
 
