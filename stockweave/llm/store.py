@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame
 
@@ -16,6 +17,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     out = written(df, name)
     jvm = df.sparkSession.sparkContext._jvm
     del df
-    gc.collect()
-    jvm.System.gc()
+    # the first round frees the plan, the second the shuffles that only it held
+    for _ in range(2):
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(0.3)
     return out
