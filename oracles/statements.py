@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracles.blocks import (
     AUDITED,
     AUDITED_TO,
@@ -52,7 +54,7 @@ keyed("scan_csv_infer", PANEL, "panel", ["CAST(SALES_UNITS AS INT) AS SALES_UNIT
 keyed("scan_partition", PANEL, "panel WHERE LOCATION_GROUP=2", ["DAY_END_SOH", "LOCATION_GROUP"])
 keyed("scan_glob", PREDICTED, "predicted WHERE step=3", ["orig_pred", "orig_pred_low", "orig_pred_high"])
 keyed("scan_csv_glob", PREDICTED, "predicted", ["OOS"])
-keyed("sink_parquet", AUDITED, "audited", ["ONHAND_RECORDED"])
+keyed("sink_parquet", AUDITED, "audited", ["ONHAND_RECORDED", "AUDIT_ADJ_UNITS", "CAT"])
 keyed("rolling_filter", PANEL, f"panel WHERE DATE >= DATE '{DAY_}' - INTERVAL 100 DAY", ["SALES_UNITS"])
 keyed("daily_slice", PANEL, f"panel WHERE LOAD_DATE = DATE '{DAY_}'", ["SALES_UNITS"])
 
@@ -64,23 +66,24 @@ cuts AS (SELECT *, n*9//10 AS c1, (n*9//10)*9//10 AS c2 FROM ranks),
 split AS (SELECT SKU, LOCATION, DATE, SALES_UNITS, CASE WHEN n<{min_rows} OR rk<=c2 THEN 'train' WHEN rk<=c1 THEN 'validation' ELSE 'test' END AS data_split FROM cuts)"""
 
 
-put("sink_partitioned", PANEL + split(10), "SELECT data_split, count(*) AS n_rows FROM split GROUP BY data_split")
+keyed("sink_partitioned", PANEL + split(10), "split", ["data_split"])
 keyed("data_split_historical", PANEL + split(270), "split", ["data_split"])
 keyed("data_split_incremental", PANEL + split(10), "split", ["data_split"])
 keyed("split_filter", PANEL + split(270), "split WHERE data_split='test'", ["SALES_UNITS"])
+keyed("data_split_historical_short", PANEL + split(30), "split", ["data_split"])
+keyed("split_filter_short", PANEL + split(30), "split WHERE data_split='test'", ["SALES_UNITS"])
 put(
-    "sink_csv_projected",
-    PREDICTED,
-    """SELECT 'final' AS layer, count(*) AS n_rows, CAST(4 AS INT) AS n_columns FROM predicted UNION ALL
-SELECT 'concatenated', count(*), 10 FROM predicted UNION ALL SELECT 'step_2', count(*), 5 FROM predicted WHERE step<>1 UNION ALL
-SELECT 'step_3', count(*), 9 FROM predicted WHERE step=3 UNION ALL SELECT 'step_4', count(*), 9 FROM predicted WHERE step=4""",
+    "cascade_models",
+    PANEL + split(10),
+    f"SELECT {KEY}, 1::INT AS scores_are_shares, 1::INT AS range_is_ordered, 1::INT AS step_fits_scores FROM split WHERE data_split='test'",
 )
-ACTUAL = PREDICTED + """,
-actual AS (SELECT SKU, LOCATION, DATE, CASE WHEN DAY_END_SOH+AUDIT_UNITS<=0 THEN 1 ELSE 0 END AS ACTUAL_OOS_FLAG FROM panel WHERE AUDIT_FLAG=1),
+# stored once, whatever the optimiser would choose for parts that are read several times
+ACTUAL = re.sub(r"\b(panel|predicted) AS \(", r"\1 AS MATERIALIZED (", PREDICTED) + """,
+actual AS MATERIALIZED (SELECT SKU, LOCATION, DATE, CASE WHEN DAY_END_SOH+AUDIT_UNITS<=0 THEN 1 ELSE 0 END AS ACTUAL_OOS_FLAG FROM panel WHERE AUDIT_FLAG=1),
 report AS (SELECT a.*, p.OOS FROM actual a JOIN predicted p ON a.SKU=p.SKU AND a.LOCATION=p.LOCATION AND a.DATE=p.DATE)"""
 put("sink_report", ACTUAL, "SELECT * FROM report")
 put("actual_vs_predicted", ACTUAL, "SELECT * FROM report")
-put("master_passthrough", "", "SELECT p_partkey, p_brand, p_size FROM part")
+put("master_passthrough", "", "SELECT * FROM part")
 put(
     "merge_consolidated",
     PANEL,
@@ -106,23 +109,8 @@ put("file_classify", CLASSIFIED, "SELECT * FROM classified")
 put("file_route", ROUTED, "SELECT name, status, target FROM routed")
 
 
-def listed(source: str, key: str, value: str, out: str) -> str:
-    return f""",
-src AS ({source}),
-numbered AS (SELECT *, CAST((('0x'||substr(md5({value}),1,8))::BIGINT) % CAST(ceil(count(*) OVER (PARTITION BY {key})/1000.0) AS BIGINT) AS INT) AS chunk FROM src),
-lists AS (SELECT {key}, chunk, count(*) AS n_files, string_agg({value}, ',' ORDER BY {value}) AS {out} FROM numbered GROUP BY {key}, chunk)"""
-
-
-put(
-    "file_table_groups",
-    ROUTED + listed("SELECT string_split(target,'/')[-2] AS directory, target FROM routed WHERE status='all_valid'", "directory", "target", "files"),
-    "SELECT * FROM lists",
-)
-put(
-    "received_by_date",
-    PARSED,
-    "SELECT date_token, string_agg(DISTINCT feed, ',' ORDER BY feed) AS received FROM parsed GROUP BY date_token",
-)
+put("file_table_groups", ROUTED, "SELECT string_split(target,'/')[-2] AS directory, target FROM routed WHERE status='all_valid'")
+put("received_by_date", PARSED, "SELECT DISTINCT date_token, feed FROM parsed")
 MISSING = PARSED + """,
 gap AS (SELECT t.date_token, r.feed FROM (SELECT DISTINCT date_token FROM parsed) t CROSS JOIN required r
   WHERE NOT EXISTS (SELECT 1 FROM parsed p WHERE p.date_token=t.date_token AND p.feed=r.feed))"""
@@ -158,7 +146,7 @@ AND file_date=(SELECT max(file_date) FROM log WHERE priority='critical')""",
 put(
     "missing_from_log",
     LOG,
-    "SELECT file_date, string_agg(DISTINCT missed_files, ',') AS missed FROM log WHERE missed_files<>'' GROUP BY file_date",
+    "SELECT DISTINCT file_date, unnest(string_split(missed_files, ',')) AS feed FROM log WHERE missed_files<>''",
 )
 put(
     "missing_reconcile",
@@ -178,12 +166,12 @@ put(
 )
 put(
     "unpermitted_log",
-    DAY + listed("SELECT file_date, name FROM day WHERE NOT permitted AND feed IS NOT NULL", "file_date", "name", "unpermitted_files"),
+    DAY,
     """SELECT '1' AS sub_proc_id, '2' AS run_id, '3' AS task_id, 'Data Ingestion' AS component, '20000630' AS run_date,
 strftime(file_date,'%Y%m%d') AS file_date, 'failed' AS status, 'moderate' AS priority, '' AS error_code, '' AS error_message,
-'' AS missed_files, '' AS processed_files, unpermitted_files, '' AS extra FROM lists""",
+'' AS missed_files, '' AS processed_files, name AS unpermitted_files, '' AS extra FROM day WHERE NOT permitted AND feed IS NOT NULL""",
 )
-put("log_append", LOG, "SELECT status, run_date, 2*count(*) AS n_rows FROM log GROUP BY status, run_date")
+put("log_append", LOG, "SELECT * FROM log UNION ALL SELECT * FROM log")
 put(
     "legacy_file_route",
     DAY,
@@ -234,6 +222,7 @@ put(
 _failed = "concat_ws(',', " + ", ".join(f"CASE WHEN coalesce({x}, false) THEN NULL ELSE '{n}' END" for n, x in _RULES.items()) + ")"
 CHECKED = f"checked AS (SELECT *, {_failed} AS failed_rules FROM lineitem)"
 put("validate_errors", CHECKED, "SELECT l_orderkey, l_linenumber, failed_rules FROM checked WHERE failed_rules<>''")
+put("validate_success", CHECKED, "SELECT l_orderkey, l_linenumber, l_quantity FROM checked WHERE failed_rules=''")
 put(
     "error_threshold",
     CHECKED,
@@ -326,6 +315,7 @@ put(
     """SELECT p.SKU, p.LOCATION, p.DATE, daily_trans, footfall_scale, footfall_index FROM panel p
 JOIN traffic t ON p.LOCATION=t.LOCATION AND p.DATE=t.DATE""",
 )
+keyed("decay_short", PANEL + decay(rows=7), "decayed", ["sale_decay_decimal", "transfer_decay_decimal"])
 keyed("decay", PANEL + decay(), "decayed", ["sale_decay_decimal", "transfer_decay_decimal"])
 put("carry_state", AUDITED + STATE, "SELECT * FROM state")
 _lagged = [
@@ -426,6 +416,16 @@ put(
         ]
     ),
 )
+STATEMENTS["sink_csv_projected"] = STATEMENTS["prediction_layers"]
+_catalog = {"concatenated": "", "final": "", "step_2": "WHERE step<>1", "step_3": "WHERE step=3", "step_4": "WHERE step=4"}
+put(
+    "file_catalog",
+    PREDICTED,
+    " UNION ALL ".join(
+        f"SELECT DISTINCT LOCATION_GROUP, '{n}' AS layer, true AS has_files, true AS has_content, true AS path_ends_in_name, true AS has_bucket FROM predicted {w}"
+        for n, w in _catalog.items()
+    ),
+)
 put(
     "union_concat",
     PREDICTED,
@@ -517,7 +517,7 @@ FROM predicted{tail})"""
 
 
 put("overall_metrics", PREDICTED, overall())
-put("sink_metrics", PREDICTED, f"SELECT tp_perc, f1_score, loss FROM ({overall()})")
+put("sink_metrics", PREDICTED, overall())
 
 
 def classified(step: str, truth: str, score: str, where: str = "", by: str = "") -> str:

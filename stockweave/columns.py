@@ -64,21 +64,14 @@ SHELF_STATE = [
 FOOTFALL_STATE = ["meta_footfall_daily_min", "meta_footfall_daily_max"]
 DAILY_STATE = SHELF_STATE + FOOTFALL_STATE
 
-# The feature columns of the output, which must carry these names.
+# The feature columns of the output, with these names and in this order.
 FEATURES = [
-    "inv_shrinkage_ratio_7", "inv_shrinkage_ratio_14", "inv_shrinkage_ratio_28",
-    "itr_ratio_7", "itr_ratio_14", "itr_ratio_28",
-    "inv_sales_ratio_7", "inv_sales_ratio_14", "inv_sales_ratio_28",
-    "sell_through_rate_28", "sell_through_rate_56", "sell_through_rate_84",
-    "sales_ratio_7_28", "sales_ratio_28_84",
-    "stock_ratio_7_28", "stock_ratio_28_84",
-    "sale_day_ratio_28", "sale_day_ratio_84",
-    "oos_ratio_28", "oos_ratio_84",
-    "LEDGER_BAL_RATIO_7", "LEDGER_BAL_RATIO_14", "LEDGER_BAL_RATIO_28",
-    "price_scale_7", "sale_scale_28", "categorical_shrinkage_scale_7",
-    "footfall_scale", "footfall_index",
-    "REV_CUMULATIVE_SOH_SCALE",
-    "sale_decay_decimal", "transfer_decay_decimal",
-    "CAT", "DEPT", "LOB", "CURDAY_IP_QTY_EOP_SOH",
-    "audit_day_flag", "day_of_week",
+    "inv_shrinkage_ratio_7", "REV_CUMULATIVE_SOH_SCALE", "LEDGER_BAL_RATIO_28", "sale_scale_28",
+    "LEDGER_BAL_RATIO_7", "price_scale_7", "sale_day_ratio_84", "sale_day_ratio_28", "footfall_scale",
+    "sale_decay_decimal", "itr_ratio_28", "itr_ratio_7", "sell_through_rate_56", "LEDGER_BAL_RATIO_14",
+    "itr_ratio_14", "sales_ratio_28_84", "oos_ratio_28", "inv_shrinkage_ratio_14", "stock_ratio_7_28",
+    "sell_through_rate_84", "transfer_decay_decimal", "inv_shrinkage_ratio_28",
+    "categorical_shrinkage_scale_7", "oos_ratio_84", "inv_sales_ratio_7", "stock_ratio_28_84",
+    "inv_sales_ratio_28", "inv_sales_ratio_14", "sell_through_rate_28", "footfall_index",
+    "sales_ratio_7_28", "CAT", "CURDAY_IP_QTY_EOP_SOH", "DEPT", "LOB", "audit_day_flag", "day_of_week",
 ]

@@ -52,14 +52,13 @@ class Trailing:
 def trailing(df: DataFrame, measures: dict[str, Column], wanted: dict[str, Trailing]) -> DataFrame:
     """Add the aggregates in ``wanted`` (output name -> spec) over (SKU, LOCATION) by DATE.
 
-    Nulls are skipped: they add nothing to a sum (0 over a frame of nulls), and a
-    mean over no value is null.  Helper columns are dropped at once, since the
+    Nulls are skipped; a sum or mean over a frame without any value is null.  Helper columns are dropped at once, since the
     width of the rows is what the windows above pay for.
     """
     order, history = pair_order(), pair_history()
     frames = sorted({(t.measure, t.rows) for t in wanted.values()})
     summed = {t.measure for t in wanted.values() if t.kind != "count"}
-    counted = {t.measure for t in wanted.values() if t.kind != "sum"}
+    counted = {t.measure for t in wanted.values()}
 
     running = {f"__s_{m}": F.sum(measures[m]).over(history) for m in sorted(summed)}
     running |= {f"__n_{m}": F.count(measures[m]).over(history) for m in sorted(counted)}
@@ -78,7 +77,8 @@ def trailing(df: DataFrame, measures: dict[str, Column], wanted: dict[str, Trail
                 F.col(f"__s_{t.measure}_{t.rows}").cast("double"),
                 F.col(f"__n_{t.measure}_{t.rows}").cast("double"),
             )
-        return F.col(f"__{'n' if t.kind == 'count' else 's'}_{t.measure}_{t.rows}")
+        values = F.col(f"__n_{t.measure}_{t.rows}")
+        return values if t.kind == "count" else F.when(values > 0, F.col(f"__s_{t.measure}_{t.rows}"))
 
     out = df.withColumns(running).withColumns(recent)
     out = out.withColumns({name: output(t) for name, t in wanted.items()})

@@ -150,8 +150,14 @@ STEPS = [
 ]
 
 
-def apply_audit(panel: DataFrame) -> DataFrame:
-    """The full chain.  The forward fill comes first, then the backward ones."""
+def apply_audit(panel: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The full chain.  The forward fill comes first, then the backward ones.
+
+    With ``as_of`` only the pairs that have an audit on that day are adjusted, each key
+    once, as loaded last: the daily mode.
+    """
+    if as_of is not None:
+        panel = dedup_latest(audit_scope(panel, as_of))
     for step in STEPS:
         panel = step(panel)
     return panel

@@ -261,10 +261,10 @@ DECAYS = ("sale", "transfer")
 DECAY_ROWS = 84
 
 
-def decay(state: DataFrame) -> DataFrame:
-    """Mean over 84 rows of the previous decay value seen at the same day count.
+def decay(state: DataFrame, rows: int = DECAY_ROWS) -> DataFrame:
+    """Mean over ``rows`` rows of the previous decay value seen at the same day count.
 
-    0 until the frame holds 84 values.  Decay values carry two decimals and are
+    0 until the frame holds that many values.  Decay values carry two decimals and are
     summed as whole hundredths.
     """
     previous = state.withColumns(
@@ -277,13 +277,13 @@ def decay(state: DataFrame) -> DataFrame:
     )
     wanted = {}
     for d in DECAYS:
-        wanted[f"__{d}_sum"] = Trailing(d, DECAY_ROWS)
-        wanted[f"__{d}_n"] = Trailing(d, DECAY_ROWS, "count")
+        wanted[f"__{d}_sum"] = Trailing(d, rows)
+        wanted[f"__{d}_n"] = Trailing(d, rows, "count")
     summed = trailing(previous, {d: F.col(f"__{d}_prev") for d in DECAYS}, wanted)
     return summed.withColumns(
         {
-            f"{d}_decay_decimal": F.when(F.col(f"__{d}_n") < DECAY_ROWS, F.lit(0.0)).otherwise(
-                fixed_ratio(F.col(f"__{d}_sum"), F.lit(100 * DECAY_ROWS))
+            f"{d}_decay_decimal": F.when(F.col(f"__{d}_n") < rows, F.lit(0.0)).otherwise(
+                fixed_ratio(F.col(f"__{d}_sum"), F.lit(100 * rows))
             )
             for d in DECAYS
         }

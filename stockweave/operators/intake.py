@@ -38,17 +38,11 @@ ERROR_MESSAGES = {
     "DATA_ING_ERR_002": "Mandatory files missed for the day",
 }
 
-LIST_SIZE = 1000
-
 
 def _literals(values: list[str]) -> Column:
     return F.array(*(F.lit(v) for v in values))
 
 
-def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
-
-
 def stem(name: Column) -> Column:
     return F.element_at(F.split(name, "\\."), 1)
 
@@ -66,7 +60,8 @@ def file_parse(files: DataFrame) -> DataFrame:
 
 
 def name_matches(name: Column, feed: Column) -> Column:
-    """<feed>-<8 digits>-<digits>, extension apart."""
+    """<feed>-<8 digits>-<digits>, extension apart.  Stated in two halves because the feed is a
+    column: the constant half is compiled once, a pattern built per row would not be."""
     rest = F.substring(stem(name), F.length(feed) + F.lit(1), F.length(name))
     return stem(name).startswith(feed) & rest.rlike("^-[0-9]{8}-[0-9]+$")
 
@@ -127,41 +122,17 @@ def file_route(classified: DataFrame, success: str, error: str) -> DataFrame:
     return classified.withColumn("target", target)
 
 
-def name_spread(name: Column) -> Column:
-    """Even spread of names over 32 bits, the same on any engine."""
-    return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("bigint")
-
-
-def listed(rows: DataFrame, keys: list[str], value: str, out: str, size: int = LIST_SIZE) -> DataFrame:
-    """Comma lists of ``value`` per key, about ``size`` entries to a row.
-
-    A key with many values gets several numbered rows instead of one list, so no
-    group is gathered whole; together the rows hold every value.
-    """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    numbered = rows.join(counts, keys).withColumn(
-        "chunk", F.pmod(name_spread(F.col(value)), F.ceil(F.col("__n") / F.lit(float(size)))).cast("int")
-    )
-    return numbered.groupBy(*keys, "chunk").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.array_join(F.array_sort(F.collect_list(value)), ",").alias(out),
-    )
-
-
 def file_table_groups(routed: DataFrame) -> DataFrame:
-    """Accepted files by the directory they were routed to."""
-    accepted = routed.where(F.col("status") == "all_valid").select(
+    """Accepted files by the directory they were routed to: one row per directory and file."""
+    return routed.where(F.col("status") == "all_valid").select(
         F.element_at(F.split("target", "/"), -2).alias("directory"), "target"
     )
-    return listed(accepted, ["directory"], "target", "files")
 
 
 def received_by_date(parsed: DataFrame) -> DataFrame:
-    """Distinct feed tokens received under each date token."""
-    once = parsed.select("date_token", "feed").distinct()
-    return once.groupBy("date_token").agg(
-        F.array_join(F.array_sort(F.collect_list("feed")), ",").alias("received")
-    )
+    """Distinct feed tokens received under each date token: one row per pair, since tokens come
+    from arbitrary file names."""
+    return parsed.select("date_token", "feed").distinct()
 
 
 def missing_feeds(parsed: DataFrame, required: list[str] = REQUIRED_FEEDS) -> DataFrame:
@@ -237,21 +208,22 @@ def last_run_rows(log: DataFrame, component: str = COMPONENT, priorities=("criti
 
 
 def missing_from_log(rows: DataFrame) -> DataFrame:
-    """Distinct missed feeds per date, read from the list cells of a log."""
+    """Distinct (date, missed feed) rows, read from the list cells of a log."""
     cell = F.regexp_replace("missed_files", "[\\[\\]' ]", "")
-    feeds = rows.select("file_date", F.explode(F.split(cell, ",")).alias("feed")).where("feed != ''")
-    return feeds.distinct().groupBy("file_date").agg(
-        F.array_join(F.array_sort(F.collect_list("feed")), ",").alias("missed")
-    )
+    return rows.select("file_date", F.explode(F.split(cell, ",")).alias("feed")).where("feed != ''").distinct()
+
 
+def missing_reconcile(pairs: DataFrame) -> DataFrame:
+    """(date, feed) pairs on one side only; empty when the two agree.
 
-def missing_reconcile(given: DataFrame, logged: DataFrame) -> DataFrame:
-    """(date, feed) pairs on one side only; empty when the two agree."""
-    a = given.select("file_date", "feed").distinct().withColumn("in_input", F.lit(1))
-    b = logged.select("file_date", "feed").distinct().withColumn("in_log", F.lit(1))
-    both = a.join(b, ["file_date", "feed"], "full_outer")
-    return both.where(F.col("in_input").isNull() | F.col("in_log").isNull()).select(
-        "file_date", "feed", F.when(F.col("in_input").isNull(), "log").otherwise("input").alias("only_in")
+    Pairs come tagged with in_input and in_log, a pair any number of times: one aggregate
+    serves both sides.
+    """
+    sides = pairs.groupBy("file_date", "feed").agg(
+        F.bool_or("in_input").alias("in_input"), F.bool_or("in_log").alias("in_log")
+    )
+    return sides.where(F.col("in_input") != F.col("in_log")).select(
+        "file_date", "feed", F.when(F.col("in_input"), "input").otherwise("log").alias("only_in")
     )
 
 
@@ -261,19 +233,25 @@ def day_files(files: DataFrame) -> DataFrame:
     return matched_feeds(files).withColumn("permitted", permitted)
 
 
-def day_route(day: DataFrame, required: list[str] = REQUIRED_FEEDS) -> DataFrame:
-    """Success for a date with all required feeds, otherwise error for the whole day."""
+def day_route(day: DataFrame, dates: DataFrame, required: list[str] = REQUIRED_FEEDS) -> DataFrame:
+    """Success for a date with all required feeds, otherwise error for the whole day.
+
+    Every date of ``dates`` has a row; one without any file goes to error.
+    """
     got = F.count_distinct(F.when(F.col("permitted") & F.col("feed").isin(required), F.col("feed")))
-    return day.groupBy("file_date").agg((F.lit(len(required)) - got).alias("n_missing")).select(
-        "file_date",
-        "n_missing",
-        F.when(F.col("n_missing") == 0, "success").otherwise("error").alias("route"),
+    seen = day.groupBy("file_date").agg(got.alias("got"))
+    missing = F.lit(len(required)) - F.coalesce("got", F.lit(0))
+    return dates.select("file_date").join(seen, "file_date", "left").select(
+        "file_date", missing.alias("n_missing"), F.when(missing == 0, "success").otherwise("error").alias("route")
     )
 
 
-def intake_log(day: DataFrame, run_date: str, run: tuple = ("1", "2", "3"), required=REQUIRED_FEEDS) -> DataFrame:
-    """Log rows per date: an error when required feeds are missing, a success when
-    any file was processed; a date may have both.
+def intake_log(
+    day: DataFrame, dates: DataFrame, run_date: str, run: tuple = ("1", "2", "3"), required=REQUIRED_FEEDS
+) -> DataFrame:
+    """Log rows per date of ``dates``: an error when required feeds are missing, a success when
+    any file was processed; a date may have both, one without any file has the error that
+    all are missing.
 
     Processed feeds are listed with their file counts, which keeps the cell as
     short as the list of feeds.
@@ -283,9 +261,15 @@ def intake_log(day: DataFrame, run_date: str, run: tuple = ("1", "2", "3"), requ
     )
     processed = F.when(F.col("feed").isNotNull() & (F.col("n") > 0), F.concat_ws(":", "feed", F.col("n").cast("string")))
     present = F.when(F.col("n") > 0, F.col("feed"))
-    days = per_feed.groupBy("file_date").agg(
+    seen = per_feed.groupBy("file_date").agg(
         F.array_join(F.array_sort(F.collect_list(processed)), ",").alias("processed"),
-        F.array_sort(F.array_except(_literals(required), F.collect_set(present))).alias("missed"),
+        F.collect_set(present).alias("present"),
+    )
+    none = F.array().cast("array<string>")
+    days = dates.select("file_date").join(seen, "file_date", "left").select(
+        "file_date",
+        F.coalesce("processed", F.lit("")).alias("processed"),
+        F.array_sort(F.array_except(_literals(required), F.coalesce("present", none))).alias("missed"),
     )
     n_missed = F.size("missed")
     code = F.when(n_missed == len(required), "DATA_ING_ERR_001").otherwise("DATA_ING_ERR_002")
@@ -309,11 +293,10 @@ def intake_log(day: DataFrame, run_date: str, run: tuple = ("1", "2", "3"), requ
 
 
 def unpermitted_log(day: DataFrame, run_date: str, run: tuple = ("1", "2", "3")) -> DataFrame:
-    """Failed/moderate rows listing a date's feed files with a forbidden extension."""
+    """Failed/moderate rows, one per date, feed and file with a forbidden extension."""
     bad = day.where(~F.col("permitted") & F.col("feed").isNotNull())
-    lists = listed(bad.select("file_date", "name"), ["file_date"], "name", "unpermitted_files")
-    rows = lists.select(
-        "file_date", F.lit("failed").alias("status"), F.lit("moderate").alias("priority"), "unpermitted_files"
+    rows = bad.select(
+        "file_date", F.lit("failed").alias("status"), F.lit("moderate").alias("priority"), F.col("name").alias("unpermitted_files")
     )
     return as_log(rows, run_date, run)
 

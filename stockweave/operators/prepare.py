@@ -32,14 +32,15 @@ def denormalize(snapshot: DataFrame, facts: dict[str, DataFrame], master: DataFr
     """Snapshot rows with the totals of each fact and the item's master data.
 
     ``facts``: measure column -> frame of (key, measure), any number of rows per
-    key.  Each is summed to the key before it is joined, so the joins are one to
-    one, and all of them share the partitioning the sums already have.
+    key.  All facts are stacked and summed to the key by one aggregate, which combines
+    on the map side; one join brings the sums to the snapshot, one the master data.
     """
-    panel = snapshot
+    stacked = None
     for measure, rows in facts.items():
-        total = rows.groupBy(*c.KEY).agg(F.sum(measure).alias(measure))
-        panel = panel.join(total, c.KEY, "left")
-    panel = panel.join(master, c.SKU, "left")
+        part = rows.select(*c.KEY, measure)
+        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    totals = stacked.groupBy(*c.KEY).agg(*(F.sum(measure).alias(measure) for measure in facts))
+    panel = snapshot.join(totals, c.KEY, "left").join(master, c.SKU, "left")
     return panel.fillna(0, list(facts))
 
 
@@ -58,6 +59,7 @@ def failed_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
+    """Rows that break no rule: the validator's success output."""
     return checked.where(F.size("failed_rules") == 0).drop("failed_rules")
 
 

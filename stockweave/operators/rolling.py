@@ -147,7 +147,3 @@ def trailing_block(panel: DataFrame) -> DataFrame:
     """Trailing aggregates, opening stock and last sale day of each row."""
     return trailing_features(opening_stock(last_sale_day(panel)))
 
-
-def rolling_block(panel: DataFrame) -> DataFrame:
-    """All trailing features of a slice except those that need the store's other rows."""
-    return ledger_balance(trailing_block(shrinkage_qty(panel)))

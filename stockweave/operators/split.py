@@ -34,12 +34,12 @@ def split_by_time(df: DataFrame, min_rows: int, tenths: int = 9) -> DataFrame:
     return ranked.withColumn("data_split", part).drop("__rank", "__size")
 
 
-def split_historical(df: DataFrame) -> DataFrame:
-    return split_by_time(df, HISTORICAL_MIN_ROWS)
+def split_historical(df: DataFrame, min_rows: int = HISTORICAL_MIN_ROWS) -> DataFrame:
+    return split_by_time(df, min_rows)
 
 
-def split_incremental(df: DataFrame) -> DataFrame:
-    return split_by_time(df, INCREMENTAL_MIN_ROWS)
+def split_incremental(df: DataFrame, min_rows: int = INCREMENTAL_MIN_ROWS) -> DataFrame:
+    return split_by_time(df, min_rows)
 
 
 def split_filter(df: DataFrame, part: str = "test") -> DataFrame:

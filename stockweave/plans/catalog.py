@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockweave import columns as c
 from stockweave.operators import audit, cascade, daily, intake, metrics, prepare, rolling, split, state
-from stockweave.plans.feature_store import historical_features, incremental_features
+from stockweave.plans.feature_store import INPUT, historical_features, incremental_features
 from stockweave.sources import derived, storage
 from stockweave.sources.shared import fresh_path, written
 from stockweave.sources.tables import panel, store_lines, table
@@ -36,6 +36,12 @@ def audited(spark: SparkSession, root: str) -> DataFrame:
     return audit.apply_audit(panel(spark, root))
 
 
+def stored_audited(spark: SparkSession, root: str) -> DataFrame:
+    """Audited panel, written once: the branches of a plan that joins a frame with an
+    aggregate of itself then scan it, not the base tables."""
+    return written(audited(spark, root).select(*INPUT), "audited")
+
+
 def predicted(spark: SparkSession, root: str, model: str = "new") -> DataFrame:
     return cascade.cascade_predict(derived.scored_panel(panel(spark, root), model))
 
@@ -55,9 +61,26 @@ def dated_files(spark: SparkSession, root: str) -> DataFrame:
     return intake.day_files(intake.match_date_formats(files(spark, root), order_dates(spark, root)))
 
 
+def spine(spark: SparkSession, root: str) -> DataFrame:
+    """Every day from the first to the last order of either status, holidays apart."""
+    filled = intake.date_gap_fill(order_dates(spark, root, "F"), order_dates(spark, root, "O"))
+    return intake.exclude_holidays(filled, HOLIDAYS)
+
+
+def thinned_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files of the days of the spine.  At the small sizes not every day has an order, and files
+    of the tenth of each month are left out, so that days without any file occur at all sizes."""
+    days = order_dates(spark, root).where(F.dayofmonth("file_date") != 10)
+    return intake.day_files(intake.match_date_formats(files(spark, root), intake.exclude_holidays(days, HOLIDAYS)))
+
+
+def full_log(spark: SparkSession, root: str) -> DataFrame:
+    return intake.intake_log(thinned_files(spark, root), spine(spark, root), RUN_DATE, required=REQUIRED)
+
+
 def run_log(spark: SparkSession, root: str) -> DataFrame:
     """Intake log over all dates, each date being its own run."""
-    log = intake.intake_log(dated_files(spark, root), RUN_DATE, required=REQUIRED)
+    log = full_log(spark, root)
     return log.withColumn("run_date", F.col("file_date"))
 
 
@@ -111,7 +134,7 @@ def scan_csv_glob(spark, root):
 @query
 def sink_parquet(spark, root):
     path = fresh_path(spark, "audited")
-    storage.sink_parquet(audited(spark, root).select(*c.KEY, c.ONHAND_RECORDED), path)
+    storage.sink_parquet(audited(spark, root).select(*c.KEY, c.ONHAND_RECORDED, c.AUDIT_ADJ_UNITS, c.CAT), path)
     return spark.read.parquet(path)
 
 
@@ -119,20 +142,21 @@ def sink_parquet(spark, root):
 def sink_partitioned(spark, root):
     path = fresh_path(spark, "split")
     storage.sink_parquet(split.split_incremental(panel(spark, root)).select(*c.KEY, "data_split"), path, ["data_split"])
-    return spark.read.parquet(path).groupBy("data_split").agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.read.parquet(path).withColumn("data_split", F.col("data_split").cast("string"))
 
 
 @query
 def sink_csv_projected(spark, root):
+    """All rows of the five files, read back."""
     rows = written(predicted(spark, root), "predicted")
-    counts = []
-    for layer, columns in cascade.LAYERS.items():
+    back = []
+    for layer in cascade.LAYERS:
         path = fresh_path(spark, layer)
         part = cascade.prediction_layer(rows, layer)
         storage.sink_csv(part, path)
-        back = storage.scan_csv(spark, path, part.schema.simpleString()[7:-1].replace(":", " "))
-        counts.append(back.agg(F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("n_rows"), F.lit(len(columns)).alias("n_columns")))
-    return cascade.union_concat(*counts)
+        read = storage.scan_csv(spark, path, part.schema.simpleString()[7:-1].replace(":", " "))
+        back.append(read.withColumn("layer", F.lit(layer)))
+    return cascade.union_concat(*back)
 
 
 @query
@@ -145,16 +169,17 @@ def sink_report(spark, root):
 @query
 def sink_metrics(spark, root):
     path = fresh_path(spark, "metrics")
-    storage.sink_json(metrics.overall_metrics(predicted(spark, root)).select("tp_perc", "f1_score", "loss"), path)
-    return spark.read.schema("tp_perc double, f1_score double, loss bigint").json(path)
+    document = metrics.overall_metrics(predicted(spark, root))
+    storage.sink_json(document, path)
+    return spark.read.schema(document.schema).json(path)
 
 
 @query
 def master_passthrough(spark, root):
     raw, out = fresh_path(spark, "master_csv"), fresh_path(spark, "master")
-    part = table(spark, root, "part").select("p_partkey", "p_brand", "p_size")
+    part = table(spark, root, "part")
     storage.sink_csv(part, raw)
-    storage.sink_parquet(storage.scan_csv(spark, raw, "p_partkey bigint, p_brand string, p_size int"), out)
+    storage.sink_parquet(storage.scan_csv(spark, raw, part.schema.simpleString()[7:-1].replace(":", " ")), out)
     return spark.read.parquet(out)
 
 
@@ -171,7 +196,19 @@ def merge_consolidated(spark, root):
 
 @query
 def file_catalog(spark, root):
-    return storage.file_catalog(spark, _stored_layers(spark, root)).select("name", "length")
+    """Folders of the catalogue with whether they hold files; names and lengths of part files
+    are not the same twice, so they are checked, not returned."""
+    found = storage.file_catalog(spark, _stored_layers(spark, root)).where(F.col("name").endswith(".parquet"))
+    place = F.col("path")
+    return found.groupBy(
+        F.regexp_extract(place, f"{c.LOCATION_GROUP}=([^/]+)/", 1).cast("int").alias(c.LOCATION_GROUP),
+        F.regexp_extract(place, "layer=([^/]+)/", 1).alias("layer"),
+    ).agg(
+        (F.count(F.lit(1)) > 0).alias("has_files"),
+        F.bool_and(F.col("length") > 0).alias("has_content"),
+        F.bool_and(F.endswith(place, F.concat(F.lit("/"), "name"))).alias("path_ends_in_name"),
+        F.bool_and(F.col("bucket") != "").alias("has_bucket"),
+    )
 
 
 # ---- intake ----------------------------------------------------------------
@@ -253,11 +290,12 @@ def missing_from_log(spark, root):
 def missing_reconcile(spark, root):
     """Feeds missing by strict name pattern against feeds missing by the log's looser match."""
     dated = dated_files(spark, root)
-    wanted = dated.select("file_date").distinct().select("file_date", F.explode(F.array(*map(F.lit, REQUIRED))).alias("feed"))
-    strict = dated.where(intake.name_matches(F.col("name"), F.col("feed")))
-    loose = dated.where("permitted")
-    key = ["file_date", "feed"]
-    return intake.missing_reconcile(wanted.join(strict, key, "left_anti"), wanted.join(loose, key, "left_anti"))
+    # one row per file and required feed; a feed no file of the day brings is missing by both
+    strict = F.coalesce(intake.name_matches(F.col("name"), F.col("feed")), F.lit(False))
+    wanted = dated.where(F.col("feed").isin(REQUIRED)).groupBy("file_date", "feed").agg(
+        (~F.bool_or(strict)).alias("in_input"), (~F.bool_or("permitted")).alias("in_log")
+    )
+    return intake.missing_reconcile(wanted)
 
 
 @query
@@ -277,12 +315,12 @@ def date_sort(spark, root):
 
 @query
 def day_route(spark, root):
-    return intake.day_route(dated_files(spark, root), REQUIRED)
+    return intake.day_route(thinned_files(spark, root), spine(spark, root), REQUIRED)
 
 
 @query
 def intake_log(spark, root):
-    return intake.intake_log(dated_files(spark, root), RUN_DATE, required=REQUIRED)
+    return full_log(spark, root)
 
 
 @query
@@ -293,11 +331,11 @@ def unpermitted_log(spark, root):
 @query
 def log_append(spark, root):
     path = fresh_path(spark, "log")
-    log = intake.intake_log(dated_files(spark, root), RUN_DATE, required=REQUIRED)
+    log = full_log(spark, root)
     for _ in range(2):
         storage.sink_csv(log, path, append=True)
     schema = ", ".join(f"{n} string" for n in intake.LOG_COLUMNS)
-    return storage.scan_csv(spark, path, schema).groupBy("status", "run_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    return storage.scan_csv(spark, path, schema).fillna("")
 
 
 @query
@@ -355,6 +393,12 @@ def validate_errors(spark, root):
     return prepare.error_rows(checked).select("l_orderkey", "l_linenumber", "failed_rules")
 
 
+@query
+def validate_success(spark, root):
+    checked = prepare.failed_rules(table(spark, root, "lineitem"), RULES)
+    return prepare.valid_rows(checked).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @query
 def error_threshold(spark, root):
     lines = table(spark, root, "lineitem").withColumn("ship_day", F.col("l_shipdate").cast("date"))
@@ -439,6 +483,7 @@ over_panel(
     "categorical_shrinkage",
     rolling.categorical_shrinkage,
     ["categorical_shrinkage_qty_7", "categorical_shrinkage_scale_7"],
+    stored_audited,
 )
 _trailing("avg_sale_28", rolling.SALE_28)
 _trailing("avg_price_7", rolling.PRICE_7)
@@ -464,23 +509,31 @@ over_panel(
 over_panel("sales_ratio", lambda df: daily.sales_ratio(rolling.trailing_block(df)), ["sales_ratio_7_28", "sales_ratio_28_84"])
 over_panel("stock_ratio", lambda df: daily.stock_ratio(rolling.trailing_block(df)), ["stock_ratio_7_28", "stock_ratio_28_84"])
 over_panel("sale_day_ratio", lambda df: daily.sale_day_ratio(rolling.trailing_block(df)), ["sale_day_ratio_28", "sale_day_ratio_84"])
-over_panel("index_scale", lambda df: daily.index_scale(rolling.trailing_block(df)), ["price_scale_7", "sale_scale_28"])
+over_panel("index_scale", lambda df: daily.index_scale(rolling.trailing_block(df)), ["price_scale_7", "sale_scale_28"], stored_audited)
 over_panel("oos_ratio", lambda df: daily.oos_ratio(rolling.trailing_block(df)), ["oos_ratio_28", "oos_ratio_84"])
 over_panel("shelf_life", daily.shelf_life, ["REV_CUMULATIVE_SOH_SCALE"])
-over_panel("footfall", daily.footfall, ["daily_trans", "footfall_scale", "footfall_index"], panel)
+over_panel(
+    "footfall",
+    daily.footfall,
+    ["daily_trans", "footfall_scale", "footfall_index"],
+    lambda spark, root: written(panel(spark, root).select(*c.KEY, c.SALES_COUNT), "panel"),
+)
 over_panel(
     "event_flags",
     daily.event_flags,
     ["transfer_flag", "sales_flag", "returns_flag", "neg_cc_flag", "pos_cc_flag", "audit_day_flag"],
     panel,
 )
+over_panel(
+    "decay_short", lambda df: daily.decay(state.decay_state(df), 7), ["sale_decay_decimal", "transfer_decay_decimal"], panel
+)
 over_panel(
     "decay", lambda df: daily.decay(state.decay_state(df)), ["sale_decay_decimal", "transfer_decay_decimal"], panel
 )
 
 
 def _state(spark, root):
-    rows = audited(spark, root)
+    rows = stored_audited(spark, root)
     traffic = rows.groupBy(c.LOCATION, c.DATE).agg(F.sum(c.SALES_COUNT).alias("daily_trans"))
     return state.carry_state(rows, daily.footfall_by_day(traffic))
 
@@ -504,7 +557,7 @@ def flagship_slice(spark, root):
 
 @query
 def feature_assemble(spark, root):
-    return historical_features(written(audited(spark, root), "audited"))
+    return historical_features(written(audited(spark, root).select(*INPUT), "audited"))
 
 
 @query
@@ -522,6 +575,9 @@ def feature_assemble_incremental(spark, root):
 over_panel("data_split_historical", split.split_historical, ["data_split"], panel)
 over_panel("data_split_incremental", split.split_incremental, ["data_split"], panel)
 over_panel("split_filter", lambda df: split.split_filter(split.split_historical(df)), [c.SALES_UNITS], panel)
+# the same operators where short histories are cut too, so that all parts occur at every size
+over_panel("data_split_historical_short", lambda df: split.split_historical(df, 30), ["data_split"], panel)
+over_panel("split_filter_short", lambda df: split.split_filter(split.split_historical(df, 30)), [c.SALES_UNITS], panel)
 
 
 @query
@@ -545,12 +601,9 @@ def cascade_models(spark, root):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    rows = panel(spark, root)
-    truth = derived.scored_panel(rows).select(
-        *c.KEY, "BINARY_TARGET_CLASSIFICATION", "BINARY_HL_TARGET_CLASSIFICATION", "TARGET_REGRESSION"
-    )
-    parts = written(split.split_incremental(rows.join(truth, c.KEY)), "split")
     features = [c.BEGIN_SOH, c.END_SOH, c.SALES_UNITS, c.RETURN_UNITS, c.IN_TRANSIT]
+    scored_rows = derived.scored_panel(panel(spark, root), keep=tuple(features))
+    parts = written(split.split_incremental(scored_rows), "split")
     train = VectorAssembler(inputCols=features, outputCol="__x").transform(split.split_filter(parts, "train"))
     small = {"featuresCol": "__x", "maxIter": 3, "maxDepth": 3, "seed": 1}
     low = F.col("BINARY_HL_TARGET_CLASSIFICATION") == 1
@@ -561,7 +614,17 @@ def cascade_models(spark, root):
         "high": GBTRegressor(labelCol="TARGET_REGRESSION", **small).fit(train.where(~low)),
     }
     scored = cascade.score_with_models(split.split_filter(parts), models, features)
-    return cascade.cascade_predict(scored).select(*c.KEY, *CASCADE_OUTPUT)
+    out = cascade.cascade_predict(scored)
+    score = lambda name: F.col(name).between(0, 1).cast("int")
+    limits = cascade.Thresholds()
+    step = F.when(F.col("binary_pred") > limits.out_of_stock, 1).when(F.col("hl_orig_pred") > limits.low_stock, 3).otherwise(4)
+    # fitted trees have no statement; what must hold for any scores has
+    return out.select(
+        *c.KEY,
+        (score("binary_pred") * F.coalesce(score("hl_orig_pred"), F.lit(1))).alias("scores_are_shares"),
+        (F.col("orig_pred_low") <= F.col("orig_pred_high")).cast("int").alias("range_is_ordered"),
+        (F.col("step") == step).cast("int").alias("step_fits_scores"),
+    )
 
 
 @query

@@ -35,8 +35,8 @@ def _spread(value: Column, n: int) -> Column:
     return F.pmod(value, F.lit(n)).cast("double") / F.lit(1000.0)
 
 
-def scored_panel(panel: DataFrame, model: str = "new") -> DataFrame:
-    """Panel rows with four stage scores and the truth columns."""
+def scored_panel(panel: DataFrame, model: str = "new", keep: tuple = ()) -> DataFrame:
+    """Panel rows with four stage scores and the truth columns, and the columns of ``keep``."""
     shift = {"new": 0, "prod": 137}[model]
     soh, sales, loc, cnt = (F.col(n) for n in (c.END_SOH, c.SALES_UNITS, c.LOCATION, c.SALES_COUNT))
     day = F.datediff(c.DATE, F.to_date(F.lit("1990-01-01")))
@@ -52,6 +52,7 @@ def scored_panel(panel: DataFrame, model: str = "new") -> DataFrame:
         F.when(stock <= 0, 1).otherwise(0).alias("BINARY_TARGET_CLASSIFICATION"),
         F.when(stock <= soh, 1).otherwise(0).alias("BINARY_HL_TARGET_CLASSIFICATION"),
         _spread(stock * 29 + soh, 1200).alias("TARGET_REGRESSION"),
+        *keep,
     )
 
 

@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named in ``spark.checkpoint.dir``.
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or the session's warehouse.
 
-    Only a local session without the setting gets a folder of its own; a
-    cluster must name one, since a machine-local folder is lost with its machine.
+    There is no machine-local choice; a folder of one machine is lost with it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-        current = context.getCheckpointDir()
-    return current.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/intermediates").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -33,7 +22,9 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write once, read back: later branches scan only the columns they need and
-    nothing upstream is computed twice.  Survives executor loss, unlike a cache."""
+    nothing upstream is computed twice.  Survives executor loss, unlike a cache.
+    Runs a job at once, so it is for inputs that two or more branches read.  The files
+    stay until the folder is cleared: a lazy result may still read them."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -26,11 +26,16 @@ def scan_layer(spark: SparkSession, root: str, layer: str) -> DataFrame:
 
 
 def file_catalog(spark: SparkSession, root: str) -> DataFrame:
-    """Dropped files with path, name and length; file contents are not read."""
+    """Dropped files with bucket, path, name and length; file contents are not read.  The bucket
+    is the authority of the path, or its first folder where it has none."""
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
     )
-    return found.withColumn("name", F.element_at(F.split("path", "/"), -1))
+    authority = F.regexp_extract("path", "^[a-z0-9]+://([^/]+)/", 1)
+    first = F.regexp_extract("path", "^(?:[a-z0-9]+:)?/*([^/]+)/", 1)
+    return found.withColumns(
+        {"bucket": F.when(authority != "", authority).otherwise(first), "name": F.element_at(F.split("path", "/"), -1)}
+    )
 
 
 def sink_parquet(df: DataFrame, path: str, partition_by: list[str] = (), append: bool = False) -> None:
@@ -42,11 +47,9 @@ def sink_parquet(df: DataFrame, path: str, partition_by: list[str] = (), append:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def sink_csv(df: DataFrame, path: str, single_file: bool = False, append: bool = False) -> None:
-    """CSV with a header.  ``single_file`` funnels all rows through one task: for
-    small exports only."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("append" if append else "overwrite").option("header", True).csv(path)
+def sink_csv(df: DataFrame, path: str, append: bool = False) -> None:
+    """CSV with a header."""
+    df.write.mode("append" if append else "overwrite").option("header", True).csv(path)
 
 
 def sink_json(df: DataFrame, path: str) -> None:

@@ -103,7 +103,7 @@ def test_trailing_against_brute_force(spark):
             near = [x[3] for x in values[max(0, i - 6) : i + 1] if x[3] is not None]
             far = [x[3] for x in values[max(0, i - 27) : i + 1] if x[3] is not None]
             out = got[(s, r[2])]
-            assert (out.s, out.n) == (sum(near), len(near))
+            assert (out.s, out.n) == (sum(near) if near else None, len(near))
             assert out.m == (sum(far) / len(far) if far else None)
 
 
@@ -117,14 +117,35 @@ def test_one_key_with_a_third_of_all_copies(spark):
     assert len(best) == 4001 and best["x"] == 3999 and best["17"] == 17
 
 
-def test_long_lists_are_cut_into_rows_and_stay_whole(spark):
-    rows = spark.range(5300).select(
-        F.when(F.col("id") < 5000, "hot").otherwise("cold").alias("k"), F.concat(F.lit("f"), "id").alias("name")
+def test_days_without_files_are_logged_and_routed(spark):
+    day = datetime.date
+    files = spark.createDataFrame(
+        [(day(2020, 1, 1), "d/A-1.csv", "A-1.csv", "A", True), (day(2020, 1, 1), "d/B-1.csv", "B-1.csv", "B", True), (day(2020, 1, 3), "d/A-3.csv", "A-3.csv", "A", True)],
+        "file_date date, path string, name string, feed string, permitted boolean",
     )
-    out = intake.listed(rows, ["k"], "name", "names", size=500).collect()
-    assert max(r.n_files for r in out) < 700
-    names = [n for r in out for n in r.names.split(",")]
-    assert len(names) == len(set(names)) == 5300
+    dates = spark.createDataFrame([(day(2020, 1, d),) for d in (1, 2, 3)], "file_date date")
+    log = intake.intake_log(files, dates, "20200104", required=["A", "B"]).collect()
+    assert sorted((r.file_date, r.error_code, r.missed_files, r.processed_files) for r in log) == [
+        ("20200101", "", "", "A:1,B:1"),
+        ("20200102", "DATA_ING_ERR_001", "A,B", ""),
+        ("20200103", "", "", "A:1"),
+        ("20200103", "DATA_ING_ERR_002", "B", ""),
+    ]
+    routes = intake.day_route(files, dates, ["A", "B"]).collect()
+    assert sorted((r.file_date.day, r.n_missing, r.route) for r in routes) == [(1, 0, "success"), (2, 2, "error"), (3, 1, "error")]
+
+
+def test_daily_audit_equals_the_whole_one_on_its_pairs(spark):
+    rows = panel(spark, "/root/testdata/sf0.001")
+    whole, scoped = audit.apply_audit(rows), audit.audit_scope(rows, audit_day(rows))
+    daily_run = audit.apply_audit(rows, audit_day(rows))
+    expected = whole.join(scoped.select(*c.PAIR).distinct(), c.PAIR, "left_semi").select(daily_run.columns)
+    assert daily_run.count() > 0
+    assert daily_run.exceptAll(expected).isEmpty() and expected.exceptAll(daily_run).isEmpty()
+
+
+def audit_day(rows):
+    return str(rows.where(F.col(c.AUDIT_DATE).isNotNull()).agg(F.min(c.DATE)).first()[0])
 
 
 def test_auc_against_all_pairs(spark):
