@@ -318,6 +318,12 @@ JOIN traffic t ON p.LOCATION=t.LOCATION AND p.DATE=t.DATE""",
 keyed("decay_short", PANEL + decay(rows=7), "decayed", ["sale_decay_decimal", "transfer_decay_decimal"])
 keyed("decay", PANEL + decay(), "decayed", ["sale_decay_decimal", "transfer_decay_decimal"])
 put("carry_state", AUDITED + STATE, "SELECT * FROM state")
+put(
+    "advance_state",
+    AUDITED + STATE,
+    f"""SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY SKU, LOCATION ORDER BY DATE DESC) AS rk
+FROM state WHERE DATE<=DATE '{DAY_}') WHERE rk=1""",
+)
 _lagged = [
     "meta_CUMULATIVE_SOH", "meta_CUMULATIVE_DAILY_OUT", "meta_CARRY_FORWARD_CUMULATIVE_SOH", "meta_CUMULATIVE_BATCH_QTY",
     "meta_REV_CUMULATIVE_SOH_MIN", "meta_REV_CUMULATIVE_SOH_MAX", "meta_footfall_daily_min", "meta_footfall_daily_max",

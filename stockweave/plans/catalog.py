@@ -548,6 +548,19 @@ def state_lag(spark, root):
     return state.state_lag(_state(spark, root))
 
 
+@query
+def advance_state(spark, root):
+    """State of all pairs after AS_OF, from the state before it and the day's rows."""
+    rows, today = stored_audited(spark, root), F.to_date(F.lit(AS_OF))
+    past = rows.where(F.col(c.DATE) < today)
+    traffic = past.groupBy(c.LOCATION, c.DATE).agg(F.sum(c.SALES_COUNT).alias("daily_trans"))
+    history = state.carry_state(past, daily.footfall_by_day(traffic), state.UNITS)
+    latest = F.max(F.struct(c.DATE, *state.STATE_COLUMNS, *state.UNITS)).alias("latest")
+    before = written(history.groupBy(*c.PAIR).agg(latest).select(*c.PAIR, "latest.*"), "state")
+    after = state.advance_state(before, rows.where(F.col(c.DATE) == today))
+    return after.select(*c.KEY, *state.STATE_COLUMNS)
+
+
 @query
 def flagship_slice(spark, root):
     """Turnover and sell-through of the last 28 rows."""

@@ -87,6 +87,29 @@ def test_empty_panel(spark, dense):
     assert row.tp_perc == 0.0 and row.under_accurate_perc is None and row.loss == 0
 
 
+def test_daily_steps_equal_the_whole_history(spark, dense):
+    path = fresh_path(spark, "audited")
+    storage.sink_parquet(audit.apply_audit(dense), path)
+    rows = spark.read.parquet(path)
+    traffic = rows.groupBy(c.LOCATION, c.DATE).agg(F.sum(c.SALES_COUNT).alias("daily_trans"))
+    whole = state.carry_state(rows, daily.footfall_by_day(traffic), state.UNITS)
+    first = datetime.date(2023, 4, 20)
+    current = whole.where(F.col(c.DATE) == first)
+    for step in range(1, 13):
+        day = rows.where(F.col(c.DATE) == first + datetime.timedelta(days=step))
+        if step == 5:  # a pair without a row keeps its state
+            day = day.where("SKU <> 'S0'")
+        stored = fresh_path(spark, "state")
+        storage.sink_parquet(state.advance_state(current, day), stored)
+        current = spark.read.parquet(stored)
+        if step == 4:
+            assert current.exceptAll(whole.where(F.col(c.DATE) == first + datetime.timedelta(days=4))).isEmpty()
+    expected = whole.where(F.col(c.DATE) == first + datetime.timedelta(days=12)).where("SKU <> 'S0'")
+    got = current.where("SKU <> 'S0'")
+    assert got.count() == 6 and got.exceptAll(expected.select(got.columns)).isEmpty()
+    assert got.where("meta_sale_decay_decimal > 0").count() > 0
+
+
 def test_trailing_against_brute_force(spark):
     rng = random.Random(1)
     rows = [
