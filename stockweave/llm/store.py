@@ -7,19 +7,21 @@ import time
 
 from pyspark.sql import DataFrame
 
-from stockweave.sources.shared import written
+from stockweave.sources.shared import fresh_path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back.  The plan that was written is given up at
     once and the JVM asked to collect it, so that Spark's cleaner removes its shuffle files
     now and not at the end of the application: disk holds the shuffles of one job only."""
-    out = written(df, name)
-    jvm = df.sparkSession.sparkContext._jvm
+    spark, path, schema = df.sparkSession, fresh_path(df.sparkSession, name), df.schema
+    # runs of one text overlap, which this codec makes use of
+    df.write.option("compression", "zstd").parquet(path)
+    jvm = spark.sparkContext._jvm
     del df
     # the first round frees the plan, the second the shuffles that only it held
     for _ in range(2):
         gc.collect()
         jvm.System.gc()
         time.sleep(0.3)
-    return out
+    return spark.read.schema(schema).parquet(path)
