@@ -37,10 +37,11 @@ INSULTS = [
 LEET = str.maketrans("013457@$", "oieastas")
 DISMISSALS = ["shut up", "get lost", "drop dead", "go to hell", "screw you", "you people"]
 MASKED = re.compile(r"[^\W\d_]\*+[^\W\d_]")
+# names that no mined term can have
 PATTERNS = {
-    "shouting": lambda text: "!!" in text or "?!" in text,
-    "masked": lambda text: "*" in text and MASKED.search(text) is not None,
-    "dismissal": lambda text: any(phrase in text for phrase in DISMISSALS),
+    "!shouting": lambda text: "!!" in text or "?!" in text,
+    "!masked": lambda text: "*" in text and MASKED.search(text) is not None,
+    "!dismissal": lambda text: any(phrase in text for phrase in DISMISSALS),
 }
 WORD = re.compile(r"[^\W_]+")
 DIGIT_IN_WORD = re.compile(r"[a-z][013457@$]|[013457@$][a-z]")
@@ -48,7 +49,7 @@ PREFIXES = (3, 4, 5, 6)
 HASHED = 1 << 13
 #: A word beginning is also listed as "k:beginning", which takes k distinct words.
 TIMES = (2, 3)
-SILENT = "silence"
+SILENT = "!silence"
 
 
 def terms(word: str) -> list[str]:
