@@ -1,9 +1,10 @@
 """Secret scan: fixed patterns plus character Markov models, in DataFrame functions only.
 
-Two first-order Markov models over the characters of a token are trained from labelled
-samples: strings that the access and hex patterns mark, and digests of row numbers in four
-spellings, are "random"; all other long tokens of the corpus are "ordinary".  A token whose
-log-likelihood ratio (random against ordinary) reaches a threshold is a further span.
+First-order Markov models over the characters of a token are trained from labelled samples:
+strings that the access and hex patterns mark, and digests of row numbers in four spellings,
+are random, in hex digits (model 1) or in a larger alphabet (model 2); long tokens of the
+corpus without any digit are ordinary (model 0), others with digits have no label.  A token whose log-likelihood ratio of either random
+model against the ordinary one reaches a threshold is a further span.
 """
 
 from __future__ import annotations
@@ -82,44 +83,48 @@ def _keep(match: Column, rule: str) -> Column:
     return F.lit(True)
 
 
-def train(docs: DataFrame, text_col: str = "text", generated: int = 2000, smoothing: float = 0.5) -> list[float]:
-    """Log-likelihood ratios of all character pairs, row by row of the alphabet.
+def train(docs: DataFrame, text_col: str = "text", generated: int = 2000, smoothing: float = 0.5) -> list[list[float]]:
+    """Log-likelihood ratios of all character pairs, row by row of the alphabet, for each of
+    the two random models.
 
     Counts cover every distinct token of 12 and more characters of every text.  What comes
-    to the driver is one count per label and pair: at most 2 * 67 * 67 rows.  An empty
+    to the driver is one count per label and pair: at most 3 * 67 * 67 rows.  An empty
     table leaves the ordinary model uniform.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
     tokens = docs.select(F.explode(F.regexp_extract_all(text, F.lit(LEARN_TOKEN), F.lit(0))).alias("token"))
-    marked = F.col("token").rlike(f"^({ACCESS}|{HEX})$")
+    marked = F.when(F.col("token").rlike(f"^{HEX}$"), 1).when(F.col("token").rlike(f"^{ACCESS}$"), 2)
+    marked = marked.when(~F.col("token").rlike("[0-9]"), 0)
     digest = F.sha2(F.col("id").cast("string"), 256)
     code = F.base64(F.unhex(digest))
+    sample = lambda token, model: F.struct(token.alias("token"), F.lit(model).alias("model"))
     made = spark.range(generated).select(
         F.explode(
             F.array(
-                digest,
-                F.regexp_replace(code, "[+/=]", ""),
-                F.regexp_replace(code, "=", ""),
-                F.upper(F.conv(F.substring(digest, 1, 15), 16, 36)),
+                sample(digest, 1),
+                sample(F.regexp_replace(code, "[+/=]", ""), 2),
+                sample(F.regexp_replace(code, "=", ""), 2),
+                sample(F.upper(F.conv(F.substring(digest, 1, 15), 16, 36)), 2),
             )
-        ).alias("token"),
-        F.lit(True).alias("random"),
+        ).alias("made")
     )
-    samples = tokens.distinct().select("token", marked.alias("random")).unionByName(made)
+    samples = tokens.distinct().select("token", marked.alias("model")).where("model is not null").unionByName(made.select("made.*"))
     pairs = samples.select(
-        "random",
+        "model",
         F.explode(F.expr("transform(sequence(1, length(token) - 1), i -> substring(token, i, 2))")).alias("pair"),
     )
-    counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}
-    out = []
-    for a in ALPHABET:
-        rows = {}
-        for label in (True, False):
-            row = [counts.get((label, a + b), 0) + smoothing for b in ALPHABET]
-            rows[label] = [math.log(x / sum(row)) for x in row]
-        out += [r - o for r, o in zip(rows[True], rows[False])]
-    return out
+    counts = {(r["model"], r["pair"]): r["n"] for r in pairs.groupBy("model", "pair").agg(F.count("*").alias("n")).collect()}
+
+    def logs(model: int) -> list[float]:
+        out = []
+        for a in ALPHABET:
+            row = [counts.get((model, a + b), 0) + smoothing for b in ALPHABET]
+            out += [math.log(x / sum(row)) for x in row]
+        return out
+
+    ordinary = logs(0)
+    return [[r - o for r, o in zip(logs(model), ordinary)] for model in (1, 2)]
 
 
 def _score(token: str, ratios: str) -> str:
@@ -128,7 +133,7 @@ def _score(token: str, ratios: str) -> str:
     return f"aggregate(sequence(2, length({token})), 0D, (s, i) -> s + {ratios}[{at('i - 1')} * {SIZE} + {at('i')}])"
 
 
-def with_spans(docs: DataFrame, ratios: list[float], text_col: str = "text", threshold: float = 12.0) -> DataFrame:
+def with_spans(docs: DataFrame, ratios: list[list[float]], text_col: str = "text", threshold: float = 12.0) -> DataFrame:
     """``docs`` with one more column ``secret_spans``: array of (start, kind, end), by start
     and kind; kind indexes KINDS, places are code points, ends exclusive.
 
@@ -136,14 +141,15 @@ def with_spans(docs: DataFrame, ratios: list[float], text_col: str = "text", thr
     characters with a letter and a digit that touch no span of the fixed patterns.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # folded to one literal by the optimizer
-    table = f"cast(split('{','.join(f'{x:.5f}' for x in ratios)}', ',') as array<double>)"
+    # each table is folded to one literal by the optimizer
+    tables = [f"cast(split('{','.join(f'{x:.5f}' for x in table)}', ',') as array<double>)" for table in ratios]
+    score = f"greatest({', '.join(_score('t', table) for table in tables)})"
     rich = "t rlike '[0-9]' and t rlike '[A-Za-z]'"
     base = F.concat(
         _spans(text, ASSIGN, 0, "value"), _spans(text, ACCESS, 1, ""), _spans(text, HEX, 2, "")
     )
     staged = docs.withColumns({"base": base, "tokens": F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))})
-    hits = F.expr(f"filter(tokens, t -> {rich} and {_score('t', table)} >= {threshold})")
+    hits = F.expr(f"filter(tokens, t -> {rich} and {score} >= {threshold})")
     staged = staged.withColumn("hits", hits).drop("tokens")
     found = F.when(F.size("hits") > 0, _spans(text, TOKEN, 3, "hits")).otherwise(F.array().cast(f"array<{SPAN}>"))
     staged = staged.withColumn("found", found)
