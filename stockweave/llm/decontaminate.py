@@ -1,16 +1,13 @@
-"""Benchmark decontamination by CGK embedding and coordinate-sampling LSH.
+"""Benchmark decontamination by triples of each item and exact edit distance.
 
 Texts and items are sequences of words (letters and digits, lower case).  An item of n words
 is found where a stretch of a text is at an edit distance of at most n // 5 words from it.
 
-1. Gate, without loss: such a stretch keeps at least n - 2 - 3 * (n // 5) of the item's word
-   triples.  Places where a window of the item's length has that many triples of the
-   benchmark give item-sized windows at the peaks of the count.
-2. A random walk embeds windows and items: at step j the current word is written down, and a
-   random bit of (j, word) tells whether to move on.  Small edit distance becomes small
-   Hamming distance.  Each table keys a few coordinates of one walk; a window meets an item
-   where a key agrees.
-3. The edit distance of the item to the best stretch around the window is computed exactly.
+1. Gate, without loss: an edit takes at most three of the n - 2 word triples of an item, so
+   such a stretch, of at most n + n // 5 words, holds at least n - 2 - 3 * (n // 5) triples of
+   that item.  A row is looked at where it has that many listed triples close together, and an
+   item there where its own triples are that many; other items nearby do not count.
+2. The edit distance of the item to the best stretch around those triples is computed exactly.
 """
 
 from __future__ import annotations
@@ -25,16 +22,12 @@ from pyspark.sql import functions as F
 
 from stockweave.llm import hashing
 
-WALKS = 4
-TABLES = 32
-#: Sampled coordinates a table.  At a Hamming distance of 0.3 a table agrees with probability
-#: 0.24, one of 32 with 0.9998; at 0.4 one with 0.988.
-COORDINATES = 4
 LEAST_WORDS = 5
 _WORD_BYTES = bytes(
     b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Pairs of a triple in a text and an item with it that are looked at together.
+_PAIRS = 1 << 20
 
 
 def allowed(n: int) -> int:
@@ -47,36 +40,6 @@ def needed(n: int) -> int:
     return n - 2 - 3 * allowed(n)
 
 
-def embed(words: np.ndarray, walk: int) -> np.ndarray:
-    """CGK embedding of rows of word hashes (0: past the end) into three times their length."""
-    rows, n = words.shape
-    padded = np.concatenate([words, np.zeros((rows, 1), np.uint64)], axis=1)
-    at, line = np.zeros(rows, np.int64), np.arange(rows)
-    out = np.empty((rows, 3 * n), np.uint64)
-    bits = None
-    for j in range(3 * n):
-        if j % 64 == 0:
-            bits = hashing.mix(padded + np.uint64((1 + walk * 64 + j // 64) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        out[:, j] = padded[line, at]
-        at = np.minimum(at + ((bits[line, at] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64), n)
-    return out
-
-
-def table_keys(words: np.ndarray) -> np.ndarray:
-    """One key a row and table, from sampled coordinates of the embeddings."""
-    rows, n = words.shape
-    keys = np.empty((rows, TABLES), np.uint64)
-    for walk in range(WALKS):
-        coded = embed(words, walk)
-        for table in range(walk, TABLES, WALKS):
-            draw = hashing.mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * _STEP + np.uint64(table * 1009 + n))
-            key = np.full(rows, table + 1, np.uint64)
-            for place in draw % np.uint64(3 * n):
-                key = hashing.mix(key * np.uint64(hashing.BASE) + coded[:, int(place)])
-            keys[:, table] = key
-    return keys
-
-
 def distance(item: list[bytes], text: list[bytes]) -> int:
     """Least edit distance, in words, of the item to any stretch of the text: one column of
     the alignment table as bits of two integers."""
@@ -110,121 +73,98 @@ class Items:
         self.words = [t.translate(_WORD_BYTES).split() for t in self.texts]
         keep = [i for i, w in enumerate(self.words) if len(w) >= LEAST_WORDS]
         self.ids, self.words = [self.ids[i] for i in keep], [self.words[i] for i in keep]
-        self.triples, self.lengths = np.zeros(0, np.uint64), {}
-        by_length: dict[int, list[int]] = {}
         rows = []
-        for i, item in enumerate(self.words):
+        for item in self.words:
             data = np.frombuffer(b" ".join(item), np.uint8)
             starts, ends, _ = hashing.words(data, np.array([0, len(data)]))
-            rows.append(hashing.Stretches(data).of(starts, ends))
-            by_length.setdefault(len(item), []).append(i)
-        if rows:
-            self.own = [hashing.grams(r, 3) for r in rows]
-            self.triples = np.unique(np.concatenate(self.own))
-        for n, members in by_length.items():
-            keys = table_keys(np.stack([rows[i] for i in members]))
-            flat = keys.ravel()
-            order = np.argsort(flat, kind="stable")
-            self.lengths[n] = flat[order], np.array(members)[order // TABLES]
+            rows.append(np.unique(hashing.grams(hashing.Stretches(data).of(starts, ends), 3)))
+        flat = np.concatenate([*rows, np.zeros(0, np.uint64)])
+        order = np.argsort(flat, kind="stable")
+        # the items of triple t are owners[first[t] : first[t + 1]]
+        self.triples, begins = np.unique(flat[order], return_index=True)
+        self.first = np.r_[begins, len(flat)]
+        self.owners = np.repeat(np.arange(len(rows)), [len(r) for r in rows])[order]
+        lengths = [len(w) for w in self.words]
+        self.least = np.array([needed(n) for n in lengths], np.int64)
+        self.reach = np.array([n + allowed(n) for n in lengths], np.int64)
         # a first look at the low bits spares most lookups
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[(self.triples & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        self.least = min((needed(n) for n in self.lengths), default=1 << 60)
 
-    def listed(self, grams: np.ndarray) -> np.ndarray:
-        """Which triples occur in the benchmark."""
-        out = self.bitmap[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)]
-        at = np.flatnonzero(out)
+    def listed(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the triples that occur in the benchmark, and their numbers there."""
+        at = np.flatnonzero(self.bitmap[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.triples, grams[at]), max(0, len(self.triples) - 1))
-        out[at] = self.triples[place] == grams[at] if len(self.triples) else False
-        return out
-
-
-def peaks(count: np.ndarray, least: int, radius: int) -> np.ndarray:
-    """Places whose count reaches ``least`` and is the largest within the radius: of each run
-    of such places the first, middle and last."""
-    padded = np.r_[np.zeros(radius, count.dtype), count, np.zeros(radius, count.dtype)]
-    top = -hashing.sliding_min(-padded, 2 * radius + 1)
-    at = np.flatnonzero((count >= least) & (count == top))
-    if not len(at):
-        return at
-    head = np.flatnonzero(np.r_[True, np.diff(at) > 1])
-    tail = np.r_[head[1:], len(at)] - 1
-    return np.unique(np.concatenate([at[head], at[(head + tail) // 2], at[tail]]))
-
-
-@dataclass
-class Proposal:
-    """A window of a row: its words' hashes, and triples and text of the stretch around it."""
-
-    row: int
-    symbols: np.ndarray
-    grams: np.ndarray
-    stretch: bytes
-
-
-def propose(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[Proposal]:
-    """Item-sized windows of the rows of a buffer that may hold an item."""
+        same = self.triples[place] == grams[at] if len(self.triples) else np.zeros(0, bool)
+        return at[same], place[same]
+
+
+def slices(items: Items, at: np.ndarray, place: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(place, item) for all items of the listed triples, in parts of about ``most`` pairs that
+    overlap by the longest stretch, so that each stretch lies whole in one of them."""
+    sizes = items.first[place + 1] - items.first[place]
+    before = np.r_[0, np.cumsum(sizes)]
+    span, begin = int(items.reach.max()), 0
+    while begin < len(at):
+        end = max(
+            int(np.searchsorted(before, before[begin] + most, side="right")) - 1, int(np.searchsorted(at, at[begin] + 2 * span))
+        )
+        end = min(max(end, begin + 1), len(at))
+        n = sizes[begin:end]
+        inside = np.arange(n.sum()) - np.repeat(before[begin:end] - before[begin], n)
+        yield np.repeat(at[begin:end], n), items.owners[np.repeat(items.first[place[begin:end]], n) + inside]
+        if end == len(at):
+            return
+        begin = max(begin + 1, int(np.searchsorted(at, at[end] - span)))
+
+
+def match(items: Items, data: np.ndarray, offsets: np.ndarray, most: int = _PAIRS) -> list[tuple[int, int, int]]:
+    """(row, item, distance) for every item in the rows of a buffer."""
     data = np.frombuffer(data.tobytes().translate(_WORD_BYTES), np.uint8)
     starts, ends, first = hashing.words(data, offsets)
-    if len(starts) < 3 or not items.lengths:
+    if len(starts) < 3 or not len(items.least):
         return []
-    hashes = hashing.Stretches(data).of(starts, ends)
-    hit = np.zeros(len(starts) + 1, np.int64)
-    grams = hashing.grams(hashes, 3)
-    hit[: len(starts) - 2] = items.listed(grams)
-    # triples that reach into the next row
-    for back in (1, 2):
-        at = first[1:] - back
-        hit[at[at >= 0]] = 0
-    before = np.r_[0, np.cumsum(hit)]
-    windows = []
-    # rows where the longest window has enough triples for any item somewhere
-    reach = np.minimum(np.arange(len(starts)) + max(items.lengths), len(starts))
-    dense = np.flatnonzero(before[reach] - before[: len(starts)] >= items.least)
-    for row in np.unique(np.searchsorted(first, dense, side="right") - 1):
-        a, b = int(first[row]), int(first[row + 1])
-        own = before[a : b + 1] - before[a]
-        for n in items.lengths:
-            k = allowed(n)
-            last = b - a - n + k  # a window may lack the words that edits took away
-            if last < 0 or own[-1] < needed(n):
-                continue
-            at = np.arange(last + 1)
-            count = own[np.minimum(at + n - 2, b - a)] - own[at]
-            if count.max() < needed(n):
-                continue
-            for s in peaks(count, needed(n), max(1, n // 2)).tolist():
-                low, high = max(a, a + s - 2 * k), min(b, a + s + n + 2 * k)
-                symbols = np.zeros(n, np.uint64)
-                inside = hashes[a + s : min(a + s + n, b)]
-                symbols[: len(inside)] = inside
-                windows.append(Proposal(int(row), symbols, grams[low : max(low, high - 2)], data[starts[low] : ends[high - 1]].tobytes()))
-    return windows
-
-
-def match(items: Items, windows: list[Proposal]) -> list[tuple[int, int, int]]:
-    """(row, item, distance) for every item that a proposed window leads to."""
+    grams = hashing.grams(hashing.Stretches(data).of(starts, ends), 3)
+    at, place = items.listed(grams)
+    row = np.searchsorted(first, at, side="right") - 1
+    # no triples that reach into the next row
+    whole = at + 3 <= first[row + 1]
+    at, place, row = at[whole], place[whole], row[whole]
+    least, span = int(items.least.min()), int(items.reach.max())
+    if len(at) < least:
+        return []
+    # rows with enough triples for any item within the longest stretch
+    ahead = np.arange(len(at) - least + 1)
+    last = ahead + least - 1
+    dense = ahead[(row[last] == row[ahead]) & (at[last] - at[ahead] <= span - 3)]
+    kept = np.isin(row, row[dense])
+    at, place = at[kept], place[kept]
     found: dict[tuple[int, int], int] = {}
-    by_length: dict[int, list[Proposal]] = {}
-    for window in windows:
-        by_length.setdefault(len(window.symbols), []).append(window)
-    for n, members in by_length.items():
-        known, owners = items.lengths[n]
-        for begin in range(0, len(members), 8192):
-            part = members[begin : begin + 8192]
-            keys = table_keys(np.stack([w.symbols for w in part]))
-            low = np.searchsorted(known, keys, side="left")
-            high = np.searchsorted(known, keys, side="right")
-            candidates = {(int(i), int(m)) for i, t in zip(*np.nonzero(high > low)) for m in owners[low[i, t] : high[i, t]]}
-            for i, item in sorted(candidates):
-                row = part[i].row
-                # triples of this item bound the distance as those of all items do
-                if found.get((row, item)) == 0 or np.isin(part[i].grams, items.own[item]).sum() < needed(n):
-                    continue
-                edits = distance(items.words[item], part[i].stretch.split())
-                if edits <= allowed(n):
-                    found[row, item] = min(edits, found.get((row, item), edits))
+    for where, item in slices(items, at, place, most):
+        order = np.lexsort((where, item))
+        where, item = where[order], item[order]
+        row = np.searchsorted(first, where, side="right") - 1
+        # from a triple on, as many of the same item as it needs, within its longest stretch
+        head = np.arange(len(where))
+        tail = head + items.least[item] - 1
+        head, tail = head[tail < len(where)], tail[tail < len(where)]
+        good = (item[tail] == item[head]) & (row[tail] == row[head]) & (where[tail] - where[head] <= items.reach[item[head]] - 3)
+        head, tail = head[good], tail[good]
+        if not len(head):
+            continue
+        item, row, reach = item[head], row[head], items.reach[item[head]]
+        low = np.maximum(first[row], where[tail] + 3 - reach)
+        high = np.minimum(first[row + 1], where[head] + reach)
+        # overlapping stretches of one item are searched as one
+        new = np.r_[True, (item[1:] != item[:-1]) | (row[1:] != row[:-1]) | (low[1:] > high[:-1])]
+        begin = np.flatnonzero(new)
+        end = np.r_[begin[1:], len(new)] - 1
+        for r, i, a, b in zip(row[begin].tolist(), item[begin].tolist(), low[begin].tolist(), high[end].tolist()):
+            if found.get((r, i)) == 0:
+                continue
+            edits = distance(items.words[i], data[starts[a] : ends[b - 1]].tobytes().split())
+            if edits <= allowed(len(items.words[i])):
+                found[r, i] = min(edits, found.get((r, i), edits))
     return [(row, item, edits) for (row, item), edits in sorted(found.items())]
 
 
@@ -261,12 +201,9 @@ def leaks(
         def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
             items = Items(ids, texts)
             for batch in batches:
-                windows = []
+                found = []
                 for first, data, offsets in hashing.chunks(batch.column(1)):
-                    for window in propose(items, data, offsets):
-                        window.row += first
-                        windows.append(window)
-                found = match(items, windows)
+                    found += [(first + row, item, edits) for row, item, edits in match(items, data, offsets)]
                 own = batch.column(0).take(pa.array([row for row, _, _ in found], pa.int64()))
                 columns = [[items.ids[i] for _, i, _ in found], [len(items.words[i]) for _, i, _ in found], [e for _, _, e in found]]
                 yield pa.RecordBatch.from_arrays([own, *(pa.array(c, pa.int64()) for c in columns)], ["id", "item", "n_words", "edits"])
