@@ -9,6 +9,9 @@ from pathlib import Path
 
 import duckdb
 
+#: The smallest of the given table folders.
+SMALL = "/root/testdata/sf0.001"
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"

@@ -7,9 +7,9 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from stockweave.plans.session import configured  # noqa: E402
+from compare import SMALL  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
+from stockweave.plans.session import configured  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,10 +1,9 @@
 """Every query against its SQL statement."""
 
 import pytest
-from compare import connect, differences
+from compare import SMALL, connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SMALL
 from stockweave.plans.catalog import QUERIES
 
 STATEMENTS = oracle_sql()
