@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import byte_bpe, decontaminate, html_text, impact_topk, near_dup, secret_scan, substring_dedup, suffix_dedup, token_counts, toxicity
+from stockweave.llm import (
+    byte_bpe,
+    decontaminate,
+    html_text,
+    impact_topk,
+    near_dup,
+    phrases,
+    secret_scan,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -66,6 +78,10 @@ def op10_near_dup(spark: SparkSession, root: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, root, "documents"))
 
 
+def op11_collocations(spark: SparkSession, root: str) -> DataFrame:
+    return phrases.collocations(table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -77,10 +93,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_near_dup": op10_near_dup,
+    "op11_collocations": op11_collocations,
 }
 
 STATEMENTS: dict[str, str] = {
     "op3_substring_dedup": substring_dedup.SQL,
     "op5_impact_topk": impact_topk.SQL,
     "op10_near_dup": near_dup.SQL,
+    "op11_collocations": phrases.SQL,
 }
