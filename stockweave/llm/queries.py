@@ -13,6 +13,7 @@ from stockweave.llm import (
     decontaminate,
     html_text,
     impact_topk,
+    languages,
     near_dup,
     phrases,
     secret_scan,
@@ -82,6 +83,10 @@ def op11_collocations(spark: SparkSession, root: str) -> DataFrame:
     return phrases.collocations(table(spark, root, "documents"))
 
 
+def op12_language_id(spark: SparkSession, root: str) -> DataFrame:
+    return languages.language_id(table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_near_dup": op10_near_dup,
     "op11_collocations": op11_collocations,
+    "op12_language_id": op12_language_id,
 }
 
 STATEMENTS: dict[str, str] = {
