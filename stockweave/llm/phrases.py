@@ -30,7 +30,9 @@ from stockweave.llm.store import stored
 #: N-grams that a task gathers before it builds their transducers.
 FLUSH = 1 << 20
 #: Bytes of text that are cut into words together.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
+#: Distinct words that a task holds before it passes their counts on.
+HELD = 1 << 18
 #: Bits of a block of the bit table.
 BLOCK = 1 << 17
 LONGEST = 4
@@ -45,8 +47,8 @@ def _seed(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(label, piece, row, starts, ends, bytes, first row) of the words of the texts, chunk by chunk;
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(label, piece, row, starts, ends, bytes) of the words of the texts, chunk by chunk;
     column 0 holds the texts, column 1 the languages.  Pieces of different rows differ."""
     seeds = {lang: _seed(lang) for lang in batch.column(1).unique().to_pylist()}
     seed = np.array([seeds[lang] for lang in batch.column(1).to_pylist()], np.uint64)
@@ -65,7 +67,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         row = np.searchsorted(offsets, starts, side="right") - 1
         piece = np.searchsorted(np.flatnonzero(kind == 2), starts) + row
         label = hashing.mix(hashing.Stretches(data).of(starts, ends) ^ seed[first + row])
-        yield np.maximum(label, np.uint64(1)), piece, first + row, starts, ends, data, first
+        yield np.maximum(label, np.uint64(1)), piece, first + row, starts, ends, data
 
 
 def _rows(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -77,9 +79,17 @@ def _rows(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 def word_counts(rows: DataFrame) -> DataFrame:
     """(lang, word, label, n) of all words."""
 
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        label, n = (np.concatenate([h[k] for h in held]) for k in (2, 3))
+        own, lead, place = np.unique(label, return_index=True, return_inverse=True)
+        lang, words = (pa.concat_arrays([h[k] for h in held]).take(pa.array(lead)) for k in (0, 1))
+        n = np.bincount(place, weights=n, minlength=len(own)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([lang, words, pa.array(own.view(np.int64)), pa.array(n)], ["lang", "word", "label", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for label, _, row, starts, ends, data, _ in _texts(batch):
+            for label, _, row, starts, ends, data in _texts(batch):
                 own, lead, n = np.unique(label, return_index=True, return_counts=True)
                 length = ends[lead] - starts[lead]
                 offsets = np.r_[0, np.cumsum(length)]
@@ -87,9 +97,13 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 words = pa.Array.from_buffers(
                     pa.large_string(), len(own), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[at].tobytes())]
                 ).cast(pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(1).take(pa.array(row[lead])), words, pa.array(own.view(np.int64)), pa.array(n)], ["lang", "word", "label", "n"]
-                )
+                held.append((batch.column(1).take(pa.array(row[lead])), words, own, n))
+                size += len(own)
+                if size >= HELD:
+                    yield flush(held)
+                    held, size = [], 0
+        if size:
+            yield flush(held)
 
     counted = rows.mapInArrow(run, "lang string, word string, label long, n long")
     return counted.groupBy("lang", "word", "label").agg(F.sum("n").alias("n"))
