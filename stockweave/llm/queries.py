@@ -17,6 +17,7 @@ from stockweave.llm import (
     near_dup,
     phrases,
     secret_scan,
+    spellings,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -87,6 +88,10 @@ def op12_language_id(spark: SparkSession, root: str) -> DataFrame:
     return languages.language_id(table(spark, root, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
+    return spellings.variants(table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dup": op10_near_dup,
     "op11_collocations": op11_collocations,
     "op12_language_id": op12_language_id,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 STATEMENTS: dict[str, str] = {
@@ -107,4 +113,5 @@ STATEMENTS: dict[str, str] = {
     "op5_impact_topk": impact_topk.SQL,
     "op10_near_dup": near_dup.SQL,
     "op11_collocations": phrases.SQL,
+    "op13_spelling_variants": spellings.SQL,
 }

@@ -159,4 +159,4 @@ def test_pipeline_runs_and_each_stage_takes_effect(spark, small):
 
 
 def test_query_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
