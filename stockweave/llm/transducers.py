@@ -61,7 +61,7 @@ def build(phrases: list[np.ndarray], weights: list[np.ndarray], ranges: np.ndarr
     the one before, new arcs begin, and what lies behind is finished: going up from the last
     layer, a finished state is looked up among the equal ones of its range.
     """
-    depth = max((p.shape[1] for p in phrases), default=0)
+    depth = max((p.shape[1] for p in phrases if len(p)), default=0)
     total = sum(len(p) for p in phrases)
     if not total:
         return []
@@ -69,7 +69,7 @@ def build(phrases: list[np.ndarray], weights: list[np.ndarray], ranges: np.ndarr
     length = np.concatenate([np.full(len(p), p.shape[1]) for p in phrases])
     at = 0
     for p in phrases:
-        label[at : at + len(p), : p.shape[1]] = p
+        label[at : at + len(p), : p.shape[1]] = p[:, :depth]
         at += len(p)
     weight = np.concatenate(weights).astype(np.int64)
     part = np.searchsorted(ranges, hashing.mix(prefix_hash(label, prefix)), side="right") - 1
