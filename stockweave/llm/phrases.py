@@ -28,7 +28,7 @@ from stockweave.llm import hashing, transducers
 from stockweave.llm.store import stored
 
 #: N-grams that a task gathers before it builds their transducers.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 #: Bytes of text that are cut into words together.
 CHUNK = 1 << 20
 #: Distinct words that a task holds before it passes their counts on.
