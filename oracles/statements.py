@@ -266,6 +266,10 @@ for _name, _columns in {
     ],
 }.items():
     keyed(_name, AUDITED, "audited", _columns)
+keyed("audit_daily_refresh", AUDITED_TO.replace("{day}", DAY_), "audited", [
+    "AUDIT_DAY_UNITS", "AUDIT_DATE", "AUDIT_UNITS", "AUDIT_ADJ_UNITS", "ONHAND_RECORDED", "LAST_CC_DATE",
+    "AUDIT_PREV_CC_DATE", "AUDIT_ADJ_FLAG", "PRE_AUDIT_CC_DAY_FLAG", "AUDIT_ADJ_EOP_SOH",
+])
 keyed("audit_backfill", AUDITED, "a2", ["AUDIT_DATE", "AUDIT_UNITS"])
 
 # trailing and daily features
@@ -355,6 +359,11 @@ put(
     ROLLED + CATEGORY + f",\ndl AS ({_daily_rows})" + shelf() + traffic("audited") + decay("audited"),
     assembled("dl", "shelf", "traffic"),
 )
+put(
+    "feature_daily_steps",
+    ROLLED + CATEGORY + f",\ndl AS ({_daily_rows})" + shelf() + traffic("audited") + decay("audited"),
+    f"SELECT * FROM ({assembled('dl', 'shelf', 'traffic')}) AS f WHERE DATE BETWEEN DATE '2000-06-28' AND DATE '{DAY_}'",
+)
 _seeds = {
     "soh": "coalesce(s_soh,0)", "out": "coalesce(s_out,0)", "batch": "coalesce(s_batch,0)",
     "carry": "coalesce(s_carry,0)", "low": "s_low", "high": "s_high",

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from stockweave import columns as c
 from stockweave.functions.exprs import floor_zero
-from stockweave.functions.windows import pair_future, pair_history
+from stockweave.functions.windows import optional, pair_future, pair_history
+
+#: Cycle count before the first row of a slice, if the frame carries it.
+CC_SEED = "meta_last_cc_date"
 
 
 def audit_scope(panel: DataFrame, as_of: str) -> DataFrame:
@@ -85,9 +88,9 @@ def dsd_correction(panel: DataFrame) -> DataFrame:
 
 
 def last_cycle_count(panel: DataFrame) -> DataFrame:
-    """Latest day up to the row with a non-zero adjustment."""
-    counted = F.when(F.col(c.ADJ_UNITS) != 0, F.col(c.DATE))
-    return panel.withColumn(c.LAST_CC_DATE, F.last(counted, ignorenulls=True).over(pair_history()))
+    """Latest day up to the row with a non-zero adjustment; a slice starts from its seed."""
+    counted = F.last(F.when(F.col(c.ADJ_UNITS) != 0, F.col(c.DATE)), ignorenulls=True).over(pair_history())
+    return panel.withColumn(c.LAST_CC_DATE, F.coalesce(counted, optional(panel, CC_SEED, "date")))
 
 
 def _from_next_flag_row(value: Column) -> Column:

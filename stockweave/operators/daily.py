@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -159,11 +161,12 @@ def footfall(panel: DataFrame) -> DataFrame:
     return panel.join(out, [c.LOCATION, c.DATE], "left")
 
 
-def store_context(df: DataFrame) -> DataFrame:
+def store_context(df: DataFrame, scale: Callable[[DataFrame], DataFrame] = category_scale) -> DataFrame:
     """Everything a row needs from the rest of its store, per (LOCATION, DATE, CAT).
 
     One aggregate over the panel feeds category shrinkage, price and sales
     extremes and footfall; the windows after it see one row per category and day.
+    ``scale`` adds the category's seven-row shrinkage and its scale.
     """
     level = {s: F.coalesce(F.col(a), F.lit(0)) for s, a in PEER_SCALES.items()}
     carried = [n for n in c.FOOTFALL_STATE if n in df.columns]
@@ -175,7 +178,7 @@ def store_context(df: DataFrame) -> DataFrame:
         *(F.max(n).alias(n) for n in carried),
     )
     peers = Window.partitionBy(c.LOCATION, c.DATE)
-    day = category_scale(cell).withColumns(
+    day = scale(cell).withColumns(
         {"daily_trans": F.sum("__trans").over(peers)}
         | {f"__low_{s}": F.min(f"__low_{s}").over(peers) for s in PEER_SCALES}
         | {f"__high_{s}": F.max(f"__high_{s}").over(peers) for s in PEER_SCALES}

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from stockweave import columns as c
 from stockweave.operators import audit, cascade, daily, intake, metrics, prepare, rolling, split, state
-from stockweave.plans.feature_store import INPUT, historical_features, incremental_features
+from stockweave.plans import audit_store
+from stockweave.plans.feature_store import INPUT, features_of_day, historical_features, incremental_features, start_state
 from stockweave.sources import derived, storage
 from stockweave.sources.shared import fresh_path, written
 from stockweave.sources.tables import panel, store_lines, table
@@ -461,6 +462,18 @@ AUDIT_OUTPUT = [
 ]
 over_panel("audit_apply", lambda df: df, AUDIT_OUTPUT)
 
+
+@query
+def audit_daily_refresh(spark, root):
+    """The audited panel as of AS_OF, its last three days taken in one by one: each rewrites
+    the months its audits reach back to."""
+    days = ["2000-06-28", "2000-06-29", AS_OF]
+    rows, folder = written(panel(spark, root).where(F.col(c.DATE) <= F.to_date(F.lit(AS_OF))), "panel"), fresh_path(spark, "audits")
+    audit_store.start(rows.where(F.col(c.DATE) < F.to_date(F.lit(days[0]))), folder, "2000-06-27")
+    for before, day in zip(["2000-06-27", *days], days):
+        audit_store.refresh(rows, folder, before, day)
+    return spark.read.parquet(f"{folder}/audited").select(*c.KEY, *AUDIT_OUTPUT)
+
 # ---- trailing features -----------------------------------------------------
 
 
@@ -583,6 +596,19 @@ def feature_assemble_incremental(spark, root):
     return incremental_features(rows, carried, AS_OF)
 
 
+@query
+def feature_daily_steps(spark, root):
+    """Three days, each from the state partition of the day before and the day's rows."""
+    days = ["2000-06-28", "2000-06-29", AS_OF]
+    first, folder = F.to_date(F.lit(days[0])), fresh_path(spark, "state")
+    rows = stored_audited(spark, root)
+    start_state(rows.where(F.col(c.DATE) < first), folder, "2000-06-27")
+    recent = fresh_path(spark, "days")
+    rows.where(F.col(c.DATE).between(first, F.to_date(F.lit(AS_OF)))).write.partitionBy(c.LOAD_DATE).parquet(recent)
+    made = [features_of_day(spark.read.parquet(recent), folder, a, b) for a, b in zip(["2000-06-27", *days], days)]
+    return made[0].unionByName(made[1]).unionByName(made[2])
+
+
 # ---- split, cascade, layers ------------------------------------------------
 
 over_panel("data_split_historical", split.split_historical, ["data_split"], panel)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave import columns as c
 from stockweave.operators.daily import (
+    DECAY_ROWS,
     DECAYS,
     PEER_SCALES,
     attach_store_context,
@@ -28,7 +29,9 @@ from stockweave.operators.rolling import (
     rolling_filter,
     trailing_block,
 )
+from stockweave.operators.rings import DayState, day_context, state_after, state_of, step
 from stockweave.operators.state import decay_state, state_before
+from stockweave.sources.shared import written
 
 OUTPUT = c.KEY + c.FEATURES
 FROM_STORE = ["price_scale_7", "sale_scale_28", "categorical_shrinkage_scale_7",
@@ -113,3 +116,43 @@ def incremental_features(audited: DataFrame, state: DataFrame, as_of: str) -> Da
     features = day_features(level_ratios(shelf_life(seeded))).drop(*c.DAILY_STATE)
     joined = features.join(decayed, c.KEY, "left")
     return attach_store_context(joined, context).select(*OUTPUT)
+
+
+# ---- one day at a time, on a state table partitioned by day -----------------
+
+STATE_TABLES = ("pairs", "stores", "categories")
+
+
+def save_state(state: DayState, path: str, day: str) -> None:
+    """Write the state as the partition LOAD_DATE=day of its three tables.  A day that is run
+    again replaces its own partition; no other partition is touched."""
+    for name in STATE_TABLES:
+        rows = getattr(state, name).withColumn(c.LOAD_DATE, F.to_date(F.lit(day)))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(c.LOAD_DATE).parquet(f"{path}/{name}")
+
+
+def load_state(spark: SparkSession, path: str, day: str) -> DayState:
+    """The state of one day: one partition of each table."""
+    on_day = F.col(c.LOAD_DATE) == F.to_date(F.lit(day))
+    return DayState(*(spark.read.parquet(f"{path}/{name}").where(on_day).drop(c.LOAD_DATE) for name in STATE_TABLES))
+
+
+def start_state(history: DataFrame, path: str, day: str, decay_rows: int = DECAY_ROWS) -> None:
+    """State after a panel slice that ends on ``day``: the only step that reads history."""
+    save_state(state_of(history, decay_rows), path, day)
+
+
+def features_of_day(rows: DataFrame, path: str, before: str, day: str, decay_rows: int = DECAY_ROWS) -> DataFrame:
+    """Features of the audited rows of ``day``; reads them and the state partition of
+    ``before``, and writes that of ``day``.  Equal to ``historical_features`` over all rows
+    up to the day."""
+    state = load_state(rows.sparkSession, path, before)
+    today = rows.where(F.col(c.LOAD_DATE) == F.to_date(F.lit(day))).select(*INPUT)
+    stepped = written(step(state.pairs, today, decay_rows), "stepped")
+    context = written(day_context(stepped, state), "context")
+    save_state(state_after(state, stepped, context), path, day)
+    held = [n for n in stepped.columns if n.startswith("__")]
+    features = day_features(level_ratios(stepped.drop(*held)).drop(*USED_UP))
+    features = features.select(*c.KEY, *KEPT, *PEER_SCALES.values())
+    return attach_store_context(features, context).select(*OUTPUT)
