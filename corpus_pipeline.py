@@ -8,7 +8,7 @@
 5. byte_bpe: the digests of the token ids and of the decoded bytes.
 
 The first four return the columns of their input.  Documents with null or empty text pass
-all stages; a row without an id cannot be matched by stages 2 and 3 and stays.
+all stages; a row without an id cannot be matched by stage 2 and stays.
 """
 
 from __future__ import annotations
@@ -46,9 +46,7 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark item."""
-    leaks = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = stored(leaks.select("doc_id").distinct(), "leaks")
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
