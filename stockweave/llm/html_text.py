@@ -1,8 +1,13 @@
 """Main text of web pages by consensus of host paths.
 
 Each page's containers are scored, and the page votes for the generalised tag-class path of
-its best one.  Votes are summed per host in Spark; pages are then read again and cut at the
-path of their host that has most votes and holds four fifths of the page's own text.
+its best one, widened until it holds all running text of the page.  Votes are summed per host
+in Spark; pages are then read again and cut at the path of their host that has most votes and
+holds all running text of the page.
+
+Parts around an article are known by their element and by the words of their class, id and
+role, judged after the whole page is read: none that holds the article, or that is all the
+page has, is left out.
 """
 
 from __future__ import annotations
@@ -31,16 +36,24 @@ LEAVES = {
     "p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "blockquote", "pre", "address", "figcaption", "caption", "summary",
     "legend", "option", "label", "hr",
 }
-ASIDE_TAGS = {"nav", "header", "footer", "aside", "form", "svg", "select", "button", "dialog", "menu", "object", "search", "head"}
+ASIDE_TAGS = {"nav", "header", "footer", "aside", "form", "dialog", "menu", "object", "search"}
+NEVER_SHOWN = {"svg", "select", "button", "head"}
 ASIDE_WORDS = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment",
-    "comments", "commentlist", "consent", "contentinfo", "cookie", "cookies", "disqus", "dialog", "footer", "gdpr", "header",
-    "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "outbrain", "overlay", "pager",
-    "pagination", "popup", "promo", "promotion", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar",
-    "signup", "social", "sponsor", "sponsored", "subscribe", "taboola", "toolbar", "topbar", "widget", "complementary", "alert",
-    "skyscraper", "adsense", "teaser",
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "breadcrumb", "breadcrumbs", "comment",
+    "comments", "commentlist", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr",
+    "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "outbrain", "pager",
+    "pagination", "popup", "promo", "promotion", "share", "sharing", "sidebar",
+    "signup", "social", "sponsor", "sponsored", "subscribe", "taboola", "toolbar", "topbar", "widget", "complementary",
+    "skyscraper", "adsense",
 }
-NEVER_ASIDE = {"html", "body", "article", "main"}
+# words that are also met in the names of an article's own parts
+ASIDE_ALONE = {"banner", "dialog", "header", "notice", "overlay", "related", "replies", "reply", "respond", "search", "alert", "teaser"}
+NEGATED = {"with", "has", "no", "not", "without"}
+PAGE_TAGS = {"html", "body", "main"}
+RUNNING = {"p", "blockquote", "pre"}
+LONG_TEXT = 60
+#: Steps of a path; containers nested deeper share the path of the one at this depth.
+DEEPEST = 200
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -57,11 +70,30 @@ MAY_HIDE = re.compile(r"hidden|none", re.I)
 
 @dataclass
 class Element:
+    """``size`` counts all text, ``good`` that which is no link list and not left out."""
+
     parent: int
     tag: str
     path: str
+    aside: int = 0
+    depth: int = 0
+    size: int = 0
     good: int = 0
     title: bool = False
+    heading: bool = False
+    running: bool = False
+    holds_article: bool = False
+    dropped: bool = False
+
+
+@dataclass
+class Block:
+    where: int
+    text: str
+    title: bool
+    heading: bool
+    worth: int
+    running: bool
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -85,15 +117,24 @@ def _hidden(rest: str) -> bool:
     return style.get("display") == "none" or style.get("visibility") == "hidden"
 
 
-def _aside(tag: str, rest: str, attributes: dict[str, str], forms: bool) -> bool:
-    if tag in ASIDE_TAGS:
-        return tag != "form" or not forms
-    if tag in NEVER_ASIDE:
-        return False
-    if _hidden(rest):
-        return True
-    found = {p.lower() for k in ("class", "id", "role") for p in PART.findall(attributes.get(k, ""))}
-    return bool(found & ASIDE_WORDS) and not found & {"with", "has", "no"}
+def _aside(tag: str, rest: str, attributes: dict[str, str]) -> int:
+    """3: never shown; 2: a part around an article by its element or by a word; 1: a name that
+    such a word is a part of but that may also be the article's."""
+    if tag in NEVER_SHOWN or (tag not in PAGE_TAGS and _hidden(rest)):
+        return 3
+    if tag in PAGE_TAGS:
+        return 0
+    level = 2 if tag in ASIDE_TAGS else 0
+    for key in ("class", "id", "role"):
+        for name in attributes.get(key, "").split():
+            parts = {p.lower() for p in PART.findall(name)}
+            if parts & NEGATED:
+                continue
+            if parts & ASIDE_WORDS or (len(parts) == 1 and parts & ASIDE_ALONE):
+                level = 2
+            elif parts & ASIDE_ALONE:
+                level = max(level, 1)
+    return level
 
 
 def step_name(tag: str, attributes: dict[str, str]) -> str:
@@ -105,14 +146,13 @@ def step_name(tag: str, attributes: dict[str, str]) -> str:
 class Page:
     """Blocks of text outside of the parts around an article, and the containers around them."""
 
-    def __init__(self, text: str, forms: bool = False):
+    def __init__(self, text: str):
         self.elements = [Element(-1, "", "")]
-        self.blocks: list[tuple[int, str, bool]] = []  # container, text, first-level heading
-        stack = [0]  # open containers; an aside one is a negative number
-        names = [""]
-        open_aside = 0
+        self.blocks: list[Block] = []
+        stack, names = [0], [""]  # open containers
         buffer: list[str] = []
-        heading, linked, in_link = False, 0, False
+        leaf, linked, in_link = "", 0, False
+        unseen = 0  # open containers that are never shown
         at, size = 0, len(text)
 
         def flush():
@@ -120,20 +160,16 @@ class Page:
             joined = " ".join(entities.unescape("".join(buffer)).split())
             buffer.clear()
             if joined:
-                self.blocks.append((stack[-1], joined, heading))
                 # link lists do not speak for a container
-                worth = 0 if linked * 2 > len(joined) else len(joined)
-                where = stack[-1]
-                while where >= 0:
-                    self.elements[where].good += worth
-                    self.elements[where].title |= heading
-                    where = self.elements[where].parent
+                links = linked * 2 > len(joined)
+                running = not links and (leaf in RUNNING or len(joined) >= LONG_TEXT)
+                self.blocks.append(Block(stack[-1], joined, leaf == "h1", leaf in ("h1", "h2"), 0 if links else len(joined), running))
             linked = 0
 
         while at < size:
             found = TAG.search(text, at)
             end = found.start() if found else size
-            if end > at and not open_aside:
+            if end > at and not unseen:
                 buffer.append(text[at:end])
                 linked += (end - at) * in_link
             if not found:
@@ -154,69 +190,123 @@ class Page:
             elif tag == "br":
                 buffer.append(" ")
             elif tag in LEAVES:
-                if not open_aside:
-                    flush()
-                heading = tag == "h1" and not closing
+                flush()
+                leaf = "" if closing else tag
             elif tag in CONTAINERS or tag == "head":
-                if not open_aside:
-                    flush()
-                heading = False
+                flush()
+                leaf = ""
                 if not closing and not rest.endswith("/"):
                     attributes = _attributes(rest)
+                    parent, level = stack[-1], _aside(tag, rest, attributes)
+                    depth, path = self.elements[parent].depth + 1, self.elements[parent].path
+                    if depth <= DEEPEST:
+                        path = f"{path}/{step_name(tag, attributes)}"
+                    self.elements.append(Element(parent, tag, path, level, depth))
                     names.append(tag)
-                    if open_aside or _aside(tag, rest, attributes, forms):
-                        open_aside += 1
-                        stack.append(-1)
-                    else:
-                        parent = stack[-1]
-                        self.elements.append(Element(parent, tag, f"{self.elements[parent].path}/{step_name(tag, attributes)}"))
-                        stack.append(len(self.elements) - 1)
+                    stack.append(len(self.elements) - 1)
+                    unseen += level == 3
                 elif closing and tag in names:
                     while True:
-                        open_aside -= stack.pop() < 0
+                        unseen -= self.elements[stack.pop()].aside == 3
                         if names.pop() == tag:
                             break
-        if not open_aside:
-            flush()
+        flush()
+        self._judge()
+
+    def _up(self, where: int) -> Iterator[int]:
+        while where >= 0:
+            yield where
+            where = self.elements[where].parent
+
+    def _judge(self) -> None:
+        """Which containers are left out, and the text of the others."""
+        elements = self.elements
+        for block in self.blocks:
+            e = elements[block.where]
+            e.size += block.worth
+            e.heading |= block.heading
+            e.running |= block.running
+        apart = [False] * len(elements)
+        for k, e in enumerate(elements[1:], 1):  # children come after their parents
+            apart[k] = apart[e.parent] or e.aside > 1
+        plain = sum(b.worth for b in self.blocks if not apart[b.where])
+        rest = sum(b.worth for b in self.blocks if b.running and not apart[b.where])
+        for e in reversed(elements[1:]):
+            over = elements[e.parent]
+            over.size += e.size
+            over.heading |= e.heading
+            over.running |= e.running
+            over.holds_article |= e.holds_article or (e.tag in ("article", "main") and not e.aside and e.size > 0)
+        inside = [False] * len(elements)
+        for k, e in enumerate(elements[1:], 1):
+            inside[k] = inside[e.parent] or elements[e.parent].tag in ("article", "main")
+            e.dropped = elements[e.parent].dropped or self._leave_out(e, inside[k], rest, plain)
+        self.blocks = [b for b in self.blocks if not elements[b.where].dropped]
+        for block in self.blocks:
+            elements[block.where].good += block.worth
+            elements[block.where].title |= block.title
+        for e in reversed(elements[1:]):
+            elements[e.parent].good += e.good
+            elements[e.parent].title |= e.title
+
+    def _leave_out(self, e: Element, inside: bool, rest: int, plain: int) -> bool:
+        """``rest`` is the running text, and ``plain`` all text, outside of parts of level 2."""
+        if e.aside in (0, 3) or e.holds_article:
+            return e.aside == 3
+        if e.aside == 1:
+            return not e.running or not (inside or 2 * e.size >= plain)
+        if e.tag == "header" and inside:
+            return not e.heading
+        # all running text of the page is in parts like this one: the largest is the article
+        return inside or rest > 0 or 2 * e.size < self.elements[0].size
 
     def best(self) -> int:
         """The page's own best container: an article or main part with half of the text, else
-        the innermost container with four fifths of it and with the heading, if one has both."""
+        the innermost container with four fifths of it and with the heading, if one has both;
+        widened to hold the first-level headings before it, and all running text if it is not
+        an article."""
         total = self.elements[0].good
+        where = None
         for tag in ("article", "main"):
-            found = [i for i, e in enumerate(self.elements) if e.tag == tag]
-            if found:
+            found = [i for i, e in enumerate(self.elements) if e.tag == tag and not e.dropped]
+            if found and where is None:
                 most = max(found, key=lambda i: (self.elements[i].good, -i))
                 if 2 * self.elements[most].good >= total:
-                    return most
-        large = [i for i, e in enumerate(self.elements) if 5 * e.good >= 4 * total]
-        titled = [i for i in large if self.elements[i].title and self.elements[i].tag not in ("", "html", "body")]
-        return max(titled or large, key=lambda i: (self.elements[i].path.count("/"), i))
+                    where = most
+        if where is not None:
+            own = [b for b in self.blocks if b.title and not self.elements[where].title]
+        else:
+            large = [i for i, e in enumerate(self.elements) if 5 * e.good >= 4 * total and not e.dropped]
+            titled = [i for i in large if self.elements[i].title and self.elements[i].tag not in ("", "html", "body")]
+            where = max(titled or large, key=lambda i: (self.elements[i].depth, i))
+            own = [b for b in self.blocks if b.running or b.title]
+        held = [0] * len(self.elements)
+        for block in own:
+            held[block.where] += 1
+        for k in range(len(held) - 1, 0, -1):
+            held[self.elements[k].parent] += held[k]
+        return next(k for k in self._up(where) if held[k] == len(own))
 
     def under(self, chosen: set[int]) -> str:
-        out = []
-        for where, text, _ in self.blocks:
-            while where >= 0 and where not in chosen:
-                where = self.elements[where].parent
-            if where >= 0:
-                out.append(text)
-        return " ".join(out)
+        below = [k in chosen for k in range(len(self.elements))]
+        for k, e in enumerate(self.elements[1:], 1):
+            below[k] |= below[e.parent]
+        return " ".join(b.text for b in self.blocks if below[b.where])
 
     def extract(self, paths: list[str]) -> str:
-        """Text under the first of the paths that holds four fifths of the page's text, as a vote
-        asks, else under the page's own best container."""
-        total = self.elements[0].good
+        """Text under the first of the paths that holds the page's own best container, else
+        under that one."""
+        best = self.best()
+        around = set(self._up(best))
         for path in paths:
-            chosen = {i for i, e in enumerate(self.elements) if e.path == path}
-            if chosen and 5 * sum(self.elements[i].good for i in chosen) >= 4 * total:
+            chosen = {i for i in around if self.elements[i].path == path}
+            if chosen:
                 return self.under(chosen)
-        return self.under({self.best()})
+        return self.under({best})
 
 
 def read_page(text: str) -> Page:
-    """A page whose whole text lies in a form is read with forms counted as content."""
-    page = Page(text)
-    return page if page.blocks or "<form" not in text.lower() else Page(text, forms=True)
+    return Page(text)
 
 
 def host(url: Column) -> Column:
@@ -256,7 +346,7 @@ def main_text(
     """(id, url, text): the main text of every page; empty if there is none.
 
     A host's ``most_paths`` paths with most votes are tried in that order; a page that none
-    of them fits uses its own best container.  The winners have one row a host; up to
+    of them holds the running text of uses its own best container.  The winners have one row a host; up to
     ``broadcast_hosts`` they are broadcast, beyond it they are joined by host, where the
     adaptive skew join splits a host with very many pages.  A null html counts as empty, a
     null url as the empty host; repeated rows give repeated results.

