@@ -108,6 +108,11 @@ audited AS (SELECT *, CASE WHEN DATE>=AUDIT_PREV_CC_DATE AND DATE<=AUDIT_DATE AN
 AUDITED = PANEL + ", known AS (SELECT * FROM panel)," + AUDIT_STEPS
 AUDITED_TO = PANEL + ", known AS (SELECT * FROM panel WHERE DATE <= DATE '{day}')," + AUDIT_STEPS
 
+#: Only audits in a count period of their store count.
+_SCHEDULED = "AUDIT_FLAG=1 AND (month(DATE) + LOCATION / 10) % 3 = 0 AND day(DATE) <= 25"
+SCHEDULED = PANEL + f""", known AS (SELECT * REPLACE (CASE WHEN {_SCHEDULED} THEN 1 ELSE 0 END AS AUDIT_FLAG,
+  CASE WHEN {_SCHEDULED} THEN AUDIT_DATE END AS AUDIT_DATE, CASE WHEN {_SCHEDULED} THEN AUDIT_UNITS END AS AUDIT_UNITS) FROM panel)"""
+
 
 def _sum(x: str, n: int, name: str) -> str:
     return f"CAST(sum({x}) OVER {last(n)} AS BIGINT) AS {name}"

@@ -6,6 +6,7 @@ import re
 
 from oracles.blocks import (
     AUDITED,
+    AUDIT_STEPS,
     AUDITED_TO,
     CATEGORY,
     CLASSIFIED,
@@ -24,6 +25,7 @@ from oracles.blocks import (
     PREDICTED,
     ROLLED,
     ROUTED,
+    SCHEDULED,
     SCORED,
     STATE,
     TWO_MODELS,
@@ -359,6 +361,17 @@ put(
     ROLLED + CATEGORY + f",\ndl AS ({_daily_rows})" + shelf() + traffic("audited") + decay("audited"),
     assembled("dl", "shelf", "traffic"),
 )
+put(
+    "denormalize_features",
+    SCHEDULED.replace("FROM panel)", "FROM panel WHERE LOCATION_GROUP IN (1, 2, 3))") + "," + AUDIT_STEPS + rolling() + CATEGORY
+    + f",\ndl AS ({_daily_rows})" + shelf() + traffic("audited") + decay("audited"),
+    assembled("dl", "shelf", "traffic"),
+)
+keyed("denormalize_day", SCHEDULED, f"known WHERE DATE = DATE '{DAY_}'", [
+    "LOCATION_GROUP", "CAT", "DEPT", "LOB", "SALES_COUNT", "SALES_UNITS", "SALES_UNITS_WITHOUT_RETURN", "RETURN_UNITS", "IN_TRANSIT_UNITS",
+    "ADJ_UNITS", "DSD_TRANSFERRED_UNITS", "SALES_UNIT_RETAIL", "DAY_END_SOH", "DAY_START_TOTAL", "DAY_END_TOTAL", "AUDIT_FLAG", "AUDIT_DATE",
+    "AUDIT_UNITS",
+])
 put(
     "feature_daily_steps",
     ROLLED + CATEGORY + f",\ndl AS ({_daily_rows})" + shelf() + traffic("audited") + decay("audited"),

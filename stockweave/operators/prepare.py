@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockweave import columns as c
@@ -44,6 +44,74 @@ def denormalize(snapshot: DataFrame, facts: dict[str, DataFrame], master: DataFr
     return panel.fillna(0, list(facts))
 
 
+@dataclass(frozen=True)
+class Feeds:
+    """What a panel is made of.
+
+    ``snapshot``: one row a key with the day's stock; ``facts``: measure -> rows of (KEY,
+    measure), any number a key; ``master``: one row a SKU; ``audits``: (SKU, LOCATION,
+    AUDIT_DATE, AUDIT_UNITS), any number a key; ``schedule``: (LOCATION, FIRST_DAY, LAST_DAY)
+    of the count periods, which may overlap.  Frames may carry LOCATION_GROUP as a partition.
+    """
+
+    snapshot: DataFrame
+    facts: dict[str, DataFrame]
+    master: DataFrame
+    audits: DataFrame
+    schedule: DataFrame
+
+
+def attach_schedule(audits: DataFrame, schedule: DataFrame) -> DataFrame:
+    """Audits that fall into a count period of their store.
+
+    Periods and audit days of a store are laid on one line, and the latest end so far tells
+    whether a period is open: one window instead of a range join.  It sees one row a store
+    and day, however many items were counted; an audit comes back to its day by an equi-join.
+    """
+    day = F.col("AUDIT_DAY")
+    starts = schedule.select(c.LOCATION, F.col("FIRST_DAY").alias("AUDIT_DAY"), "LAST_DAY", F.lit(0).alias("tag"))
+    counted = audits.select(c.LOCATION, F.col(c.AUDIT_DATE).alias("AUDIT_DAY")).distinct()
+    line = starts.unionByName(counted.withColumns({"LAST_DAY": F.lit(None).cast("date"), "tag": F.lit(1)}))
+    so_far = Window.partitionBy(c.LOCATION).orderBy("AUDIT_DAY", "tag").rowsBetween(Window.unboundedPreceding, 0)
+    opened = line.withColumn("until", F.max("LAST_DAY").over(so_far)).where((F.col("tag") == 1) & (F.col("until") >= day))
+    return audits.join(opened.select(c.LOCATION, day.alias(c.AUDIT_DATE)), [c.LOCATION, c.AUDIT_DATE], "left_semi")
+
+
+def denormalize_panel(feeds: Feeds, groups: list[int] | None = None, as_of: str | None = None) -> DataFrame:
+    """The daily panel of the given location groups (None: all), ready for the audit chain.
+
+    Historical mode takes all days, the daily mode (``as_of``) one.  Both limits go to every
+    feed before anything is joined, so that they reach the scans.  Scheduled audits are one
+    more fact: all facts are stacked and summed to the key by one aggregate, and joined once.
+    """
+
+    def of_scope(df: DataFrame, day: str = c.DATE) -> DataFrame:
+        group = F.col(c.LOCATION_GROUP) if c.LOCATION_GROUP in df.columns else location_group(F.col(c.LOCATION))
+        df = df if groups is None else df.where(group.isin(groups))
+        return df if as_of is None else df.where(F.col(day) == F.to_date(F.lit(as_of)))
+
+    audits = attach_schedule(of_scope(feeds.audits, c.AUDIT_DATE), feeds.schedule)
+    facts = {n: of_scope(df) for n, df in feeds.facts.items()}
+    facts["AUDITS"] = audits.select(*c.PAIR, F.col(c.AUDIT_DATE).alias(c.DATE), F.lit(1).cast("bigint").alias("AUDITS"))
+    facts[c.AUDIT_UNITS] = audits.select(*c.PAIR, F.col(c.AUDIT_DATE).alias(c.DATE), F.col(c.AUDIT_UNITS).cast("bigint"))
+    rows = denormalize(of_scope(feeds.snapshot).drop(c.LOCATION_GROUP), facts, feeds.master)
+    audited, gross = F.col("AUDITS") > 0, F.col(c.GROSS_SALES)
+    price = F.floor(F.try_divide(c.TOTAL_RETAIL, F.when(gross > 0, gross)))
+    return rows.withColumns(
+        {
+            c.LOCATION_GROUP: location_group(F.col(c.LOCATION)),
+            c.SALES_UNITS: gross + F.col(c.RETURN_UNITS),
+            c.ADJ_UNITS: F.col(c.POS_ADJ) + F.col(c.NEG_ADJ),
+            c.UNIT_RETAIL: F.coalesce(price, F.lit(0)).cast("bigint"),
+            c.START_TOTAL: F.col(c.BEGIN_SOH) + F.col(c.START_INTRANS),
+            c.END_TOTAL: F.col(c.END_SOH) + F.col(c.END_INTRANS),
+            c.AUDIT_FLAG: F.when(audited, 1).otherwise(0),
+            c.AUDIT_DATE: F.when(audited, F.col(c.DATE)),
+            c.AUDIT_UNITS: F.when(audited, F.col(c.AUDIT_UNITS)),
+        }
+    ).drop("AUDITS")
+
+
 @dataclass(frozen=True)
 class Rule:
     name: str

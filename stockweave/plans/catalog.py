@@ -383,6 +383,38 @@ def denormalize(spark, root):
     return prepare.denormalize(*derived.fact_tables(written(store_lines(spark, root), "lines")))
 
 
+GROUPS = [1, 2, 3]
+
+
+def stored_feeds(spark: SparkSession, root: str) -> prepare.Feeds:
+    """Feeds in folders by location group, as the intake leaves them."""
+    folders = {}
+    for name, rows in (("lines", prepare.with_location_group(store_lines(spark, root))), ("stock", panel(spark, root))):
+        folders[name] = fresh_path(spark, name)
+        rows.hint("rebalance", c.LOCATION_GROUP).write.partitionBy(c.LOCATION_GROUP).parquet(folders[name])
+    return derived.panel_feeds(*(spark.read.parquet(folders[name]) for name in ("lines", "stock")))
+
+
+@query
+def denormalize_features(spark, root):
+    """Feeds of three location groups to the panel, through the audit chain, to the features."""
+    rows = prepare.denormalize_panel(stored_feeds(spark, root), GROUPS)
+    return historical_features(written(audit.apply_audit(rows).select(*INPUT), "audited"))
+
+
+@query
+def denormalize_day(spark, root):
+    """The panel rows of one day."""
+    rows = prepare.denormalize_panel(stored_feeds(spark, root), as_of=AS_OF)
+    return rows.select(*c.KEY, *PANEL_MEASURES)
+
+
+PANEL_MEASURES = [
+    c.LOCATION_GROUP, c.CAT, c.DEPT, c.LOB, c.SALES_COUNT, c.SALES_UNITS, c.GROSS_SALES, c.RETURN_UNITS, c.IN_TRANSIT, c.ADJ_UNITS,
+    c.DSD_UNITS, c.UNIT_RETAIL, c.END_SOH, c.START_TOTAL, c.END_TOTAL, c.AUDIT_FLAG, c.AUDIT_DATE, c.AUDIT_UNITS,
+]
+
+
 @query
 def validate_rules(spark, root):
     return prepare.rule_report(table(spark, root, "lineitem"), RULES)

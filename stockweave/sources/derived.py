@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave import columns as c
+from stockweave.operators.prepare import Feeds
 from stockweave.operators.intake import FEEDS
 from stockweave.sources.tables import table
 
@@ -84,3 +85,36 @@ def fact_tables(lines: DataFrame) -> tuple[DataFrame, dict[str, DataFrame], Data
         F.concat(F.lit("D"), (number % 3).cast("string")).alias(c.DEPT),
     ).distinct()
     return snapshot, facts, master
+
+
+def panel_feeds(lines: DataFrame, panel: DataFrame) -> Feeds:
+    """The feeds of a panel: line-level facts, the stock snapshot, item master, audits, and a
+    count period of 25 days in every third month of a store (another third for each)."""
+    units, line_no, returned = F.col("units"), F.col("line_no"), F.col("return_flag") == "R"
+    group = [c.LOCATION_GROUP] if c.LOCATION_GROUP in lines.columns else []
+
+    def fact(name: str, amount: Column, when: Column) -> DataFrame:
+        return lines.where(when).select(*c.KEY, *group, amount.cast("bigint").alias(name))
+
+    facts = {
+        c.SALES_COUNT: lines.select(*c.KEY, *group, "order_key").distinct().select(*c.KEY, *group, F.lit(1).cast("bigint").alias(c.SALES_COUNT)),
+        c.GROSS_SALES: fact(c.GROSS_SALES, units, ~returned),
+        c.RETURN_UNITS: fact(c.RETURN_UNITS, -units, returned),
+        c.IN_TRANSIT: fact(c.IN_TRANSIT, units, (F.col("line_status") == "O") & (line_no <= 2)),
+        c.POS_ADJ: fact(c.POS_ADJ, units, line_no == 6),
+        c.NEG_ADJ: fact(c.NEG_ADJ, -units, line_no == 7),
+        c.DSD_UNITS: fact(c.DSD_UNITS, F.when(F.col("return_flag") == "A", -units).otherwise(units), line_no == 5),
+        c.TOTAL_RETAIL: fact(c.TOTAL_RETAIL, F.col("cents"), ~returned),
+    }
+    stock = [c.BEGIN_SOH, c.END_SOH, c.START_INTRANS, c.END_INTRANS, c.EOP_SOH, c.BOOK]
+    held = [c.LOCATION_GROUP] if c.LOCATION_GROUP in panel.columns else []
+    audits = panel.where(F.col(c.AUDIT_FLAG) == 1).select(*c.PAIR, *held, c.AUDIT_DATE, c.AUDIT_UNITS)
+    first = F.trunc(c.DATE, "month").alias("FIRST_DAY")
+    months = panel.select(c.LOCATION, first).distinct().where((F.month("FIRST_DAY") + F.col(c.LOCATION) / 10) % 3 == 0)
+    return Feeds(
+        panel.select(*c.KEY, *held, c.LOAD_DATE, *stock),
+        facts,
+        panel.select(c.SKU, c.CAT, c.DEPT, c.LOB).distinct(),
+        audits,
+        months.withColumn("LAST_DAY", F.date_add("FIRST_DAY", 24)),
+    )
