@@ -355,9 +355,9 @@ DAY = DATED + """,
 day AS (SELECT dated.*, feeds.feed, lower(string_split(name,'.')[-1]) IN ('csv','gz') AS permitted
   FROM dated LEFT JOIN feeds ON contains(dated.path, feeds.feed))"""
 LOG = DAY + """,
-allday AS (SELECT * FROM (SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS file_date
+allday AS (SELECT * FROM (SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)) - INTERVAL 5 DAY, max(CAST(o_orderdate AS DATE)) + INTERVAL 5 DAY, INTERVAL 1 DAY)) AS DATE) AS file_date
   FROM orders WHERE o_orderstatus IN ('F','O')) WHERE file_date NOT IN (DATE '1997-07-04', DATE '1998-07-04', DATE '1998-12-25', DATE '1999-07-04')),
-tday AS (SELECT * FROM day WHERE date_part('day', file_date)<>10 AND file_date IN (SELECT file_date FROM allday)),
+tday AS (SELECT * FROM day WHERE file_date IN (SELECT file_date FROM allday)),
 seen AS (SELECT DISTINCT file_date, feed FROM tday WHERE permitted AND feed IS NOT NULL),
 miss AS (SELECT a.file_date, count(s.feed) AS got, string_agg(r.feed, ',' ORDER BY r.feed) FILTER (s.feed IS NULL) AS missed
   FROM allday a CROSS JOIN required r LEFT JOIN seen s ON s.file_date=a.file_date AND s.feed=r.feed GROUP BY a.file_date),

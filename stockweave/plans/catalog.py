@@ -63,20 +63,22 @@ def dated_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def spine(spark: SparkSession, root: str) -> DataFrame:
-    """Every day from the first to the last order of either status, holidays apart."""
-    filled = intake.date_gap_fill(order_dates(spark, root, "F"), order_dates(spark, root, "O"))
-    return intake.exclude_holidays(filled, HOLIDAYS)
+    """Every day from five days before the first order to five after the last, of either
+    status, holidays apart: days without any file occur at all sizes."""
+    ends = {"F": F.date_sub(F.min("file_date"), 5), "O": F.date_add(F.max("file_date"), 5)}
+    known = order_dates(spark, root, "F").unionByName(order_dates(spark, root, "O"))
+    sides = [order_dates(spark, root, s).unionByName(known.agg(x.alias("file_date"))) for s, x in ends.items()]
+    return intake.exclude_holidays(intake.date_gap_fill(*sides), HOLIDAYS)
 
 
-def thinned_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files of the days of the spine.  At the small sizes not every day has an order, and files
-    of the tenth of each month are left out, so that days without any file occur at all sizes."""
-    days = order_dates(spark, root).where(F.dayofmonth("file_date") != 10)
-    return intake.day_files(intake.match_date_formats(files(spark, root), intake.exclude_holidays(days, HOLIDAYS)))
+def working_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files of all days but holidays."""
+    days = intake.exclude_holidays(order_dates(spark, root), HOLIDAYS)
+    return intake.day_files(intake.match_date_formats(files(spark, root), days))
 
 
 def full_log(spark: SparkSession, root: str) -> DataFrame:
-    return intake.intake_log(thinned_files(spark, root), spine(spark, root), RUN_DATE, required=REQUIRED)
+    return intake.intake_log(working_files(spark, root), spine(spark, root), RUN_DATE, required=REQUIRED)
 
 
 def run_log(spark: SparkSession, root: str) -> DataFrame:
@@ -316,7 +318,7 @@ def date_sort(spark, root):
 
 @query
 def day_route(spark, root):
-    return intake.day_route(thinned_files(spark, root), spine(spark, root), REQUIRED)
+    return intake.day_route(working_files(spark, root), spine(spark, root), REQUIRED)
 
 
 @query
