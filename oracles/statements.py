@@ -8,6 +8,7 @@ from oracles.blocks import (
     AUDITED,
     AUDIT_STEPS,
     AUDITED_TO,
+    CASCADE_TAIL,
     CATEGORY,
     CLASSIFIED,
     DAILY,
@@ -38,6 +39,7 @@ from oracles.blocks import (
     traffic,
 )
 from stockweave.columns import FEATURES
+from stockweave.sources.models import BASE, DUMPS, LOGISTIC
 
 DAY_ = "2000-06-30"
 STATEMENTS: dict[str, str] = {}
@@ -213,6 +215,13 @@ _RULES = {
     "ship_date_present": "l_shipdate IS NOT NULL",
     "return_flag_known": "l_returnflag IN ('A','N','R')",
 }
+put(
+    "panel_differences",
+    PANEL + """, coded AS (SELECT *, CASE WHEN LOCATION_GROUP=2 THEN (DAY_END_SOH + dayofyear(DATE)) % 40 ELSE 39 END AS code FROM panel)""",
+    """SELECT CASE WHEN code=3 THEN SKU || '+' ELSE SKU END AS SKU, LOCATION, DATE, LOCATION_GROUP,
+  CASE code WHEN 0 THEN 'left_only' WHEN 3 THEN 'right_only' ELSE 'changed' END AS kind,
+  CASE code WHEN 1 THEN 'SALES_UNITS' WHEN 2 THEN 'CAT' ELSE '' END AS fields FROM coded WHERE code BETWEEN 0 AND 3""",
+)
 put(
     "validate_rules",
     "",
@@ -223,6 +232,17 @@ put(
 )
 _failed = "concat_ws(',', " + ", ".join(f"CASE WHEN coalesce({x}, false) THEN NULL ELSE '{n}' END" for n, x in _RULES.items()) + ")"
 CHECKED = f"checked AS (SELECT *, {_failed} AS failed_rules FROM lineitem)"
+put(
+    "validate_once",
+    CHECKED,
+    " UNION ALL ".join(
+        f"""SELECT '{n}' AS rule, count(*) AS n_rows, count(*) FILTER (NOT coalesce({x}, false)) AS n_failed, 'report' AS part FROM lineitem
+UNION ALL SELECT '{n}', count(*), count(*), 'error rows' FROM lineitem WHERE NOT coalesce({x}, false) HAVING count(*) > 0"""
+        for n, x in _RULES.items()
+    )
+    + """ UNION ALL SELECT 'success', count(*) FILTER (failed_rules=''), 0, 'success' FROM checked
+UNION ALL SELECT 'error', count(*) FILTER (failed_rules<>''), 0, 'error' FROM checked""",
+)
 put("validate_errors", CHECKED, "SELECT l_orderkey, l_linenumber, failed_rules FROM checked WHERE failed_rules<>''")
 put("validate_success", CHECKED, "SELECT l_orderkey, l_linenumber, l_quantity FROM checked WHERE failed_rules=''")
 put(
@@ -377,6 +397,7 @@ put(
     ROLLED + CATEGORY + f",\ndl AS ({_daily_rows})" + shelf() + traffic("audited") + decay("audited"),
     f"SELECT * FROM ({assembled('dl', 'shelf', 'traffic')}) AS f WHERE DATE BETWEEN DATE '2000-06-28' AND DATE '{DAY_}'",
 )
+STATEMENTS["feature_assemble_bucketed"] = STATEMENTS["feature_assemble"]
 _seeds = {
     "soh": "coalesce(s_soh,0)", "out": "coalesce(s_out,0)", "batch": "coalesce(s_batch,0)",
     "carry": "coalesce(s_carry,0)", "low": "s_low", "high": "s_high",
@@ -416,6 +437,30 @@ put(
 )
 _scores = ["binary_pred", "hl_orig_pred", "orig_pred", "orig_pred_temp", "orig_pred_low", "orig_pred_high"]
 keyed("cascade_predict", PREDICTED, "predicted", ["step", *_scores, "OOS"])
+
+
+def dumped(key: str) -> str:
+    """Score of a given model: its dumped trees as conditions, added in order."""
+
+    def tree(node: dict) -> str:
+        if "leaf" in node:
+            return f"{float(node['leaf'])!r}::DOUBLE"
+        by_id = {x["nodeid"]: tree(x) for x in node["children"]}
+        yes, no = by_id[node["yes"]], by_id[node["no"]]
+        x = node["split"]
+        return f"CASE WHEN {x} IS NULL THEN {by_id[node['missing']]} WHEN {x} < {node['split_condition']!r}::DOUBLE THEN {yes} ELSE {no} END"
+
+    total = " + ".join([f"{BASE[key]!r}::DOUBLE", *(f"({tree(t)})" for t in DUMPS[key])])
+    return f"round({f'1 / (1 + exp(-({total})))' if key in LOGISTIC else total}, 6)"
+
+
+_given = {"binary": "binary_pred", "hl": "hl_score", "low": "low_pred", "high": "high_pred"}
+keyed(
+    "cascade_compiled",
+    PANEL + ",\nscored AS (SELECT *, " + ", ".join(f"{dumped(k)} AS {n}" for k, n in _given.items()) + " FROM panel)" + CASCADE_TAIL,
+    "predicted",
+    ["binary_pred", "low_pred", "high_pred", "hl_score", "step", "orig_pred_low", "orig_pred_high"],
+)
 keyed(
     "range_postprocess",
     SCORED + ranged("high_pred", "scored", "bounded"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stockweave import columns as c
@@ -147,6 +147,32 @@ def rule_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return counts.select("n_rows", F.inline(pairs)).select("rule", "n_rows", "n_failed")
 
 
+def validate_once(df: DataFrame, rules: list[Rule], path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(report, good rows, rows with failed_rules) of one scan.
+
+    One partitioned write divides the rows, and the counts of the report are observed while it
+    runs; nothing is shuffled before it, so a task that runs again counts once.  Both results
+    are read back from their folder.
+    """
+    spark = df.sparkSession
+    seen = Observation("validation")
+    checked = failed_rules(df, rules)
+    counts = [F.count_if(F.array_contains("failed_rules", r.name)).alias(f"rule {k}") for k, r in enumerate(rules)]
+    observed = checked.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+    outcome = F.when(F.size("failed_rules") > 0, "error").otherwise("success")
+    observed.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(path)
+    found = seen.get
+    rows = [(r.name, found["rows"], found[f"rule {k}"]) for k, r in enumerate(rules)]
+    report = spark.createDataFrame(rows, "rule string, n_rows long, n_failed long")
+    stored = spark.read.schema(f"{_ddl(checked)}, outcome string").parquet(path)
+    good, bad = (stored.where(F.col("outcome") == x).drop("outcome") for x in ("success", "error"))
+    return report, good.drop("failed_rules"), bad
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+
+
 def error_threshold(checked: DataFrame, day: str, limit: float) -> DataFrame:
     """Per date: share of failing rows and whether the date may proceed."""
     bad = F.count_if(F.size("failed_rules") > 0)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave import columns as c
-from stockweave.operators import audit, cascade, daily, intake, metrics, prepare, rolling, split, state
+from stockweave.operators import audit, cascade, daily, digests, intake, metrics, prepare, rolling, split, state, trees
 from stockweave.plans import audit_store
 from stockweave.plans.feature_store import INPUT, features_of_day, historical_features, incremental_features, start_state
-from stockweave.sources import derived, storage
+from stockweave.sources import bucketed, derived, models, storage
 from stockweave.sources.shared import fresh_path, written
 from stockweave.sources.tables import panel, store_lines, table
 
@@ -37,10 +37,10 @@ def audited(spark: SparkSession, root: str) -> DataFrame:
     return audit.apply_audit(panel(spark, root))
 
 
-def stored_audited(spark: SparkSession, root: str) -> DataFrame:
-    """Audited panel, written once: the branches of a plan that joins a frame with an
-    aggregate of itself then scan it, not the base tables."""
-    return written(audited(spark, root).select(*INPUT), "audited")
+def stored_audited(spark: SparkSession, root: str, columns: list[str] = INPUT) -> DataFrame:
+    """The columns of the audited panel a plan reads, written once: the branches of a plan that
+    joins a frame with an aggregate of itself then scan it, not the base tables."""
+    return written(audited(spark, root).select(*columns), "audited")
 
 
 def predicted(spark: SparkSession, root: str, model: str = "new") -> DataFrame:
@@ -434,12 +434,41 @@ def validate_success(spark, root):
     return prepare.valid_rows(checked).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
+@query
+def validate_once(spark, root):
+    """The report, and the rows of either outcome, of one scan."""
+    report, good, bad = prepare.validate_once(table(spark, root, "lineitem"), RULES, fresh_path(spark, "validated"))
+    tally = lambda df, name: df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(name).alias("rule"), "n_rows", F.lit(0).cast("long").alias("n_failed"), F.lit(name).alias("part")
+    )
+    broken = bad.select(F.explode("failed_rules").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n_rows"))
+    broken = broken.select("rule", "n_rows", F.col("n_rows").alias("n_failed"), F.lit("error rows").alias("part"))
+    parts = report.withColumn("part", F.lit("report")).unionByName(tally(good, "success")).unionByName(tally(bad, "error"))
+    return parts.unionByName(broken)
+
+
 @query
 def error_threshold(spark, root):
     lines = table(spark, root, "lineitem").withColumn("ship_day", F.col("l_shipdate").cast("date"))
     return prepare.error_threshold(prepare.failed_rules(lines, RULES), "ship_day", 0.2)
 
 
+@query
+def panel_differences(spark, root):
+    """A stored panel against a copy in which rows of one group were changed, left out and added."""
+    left, right = fresh_path(spark, "panel"), fresh_path(spark, "panel")
+    rows = written(panel(spark, root).select(*c.KEY, c.LOCATION_GROUP, c.CAT, c.SALES_UNITS, c.END_SOH), "panel")
+    code = F.when(F.col(c.LOCATION_GROUP) == 2, (F.col(c.END_SOH) + F.dayofyear(c.DATE)) % 40)
+    code = F.coalesce(code, F.lit(39))
+    copy = rows.where(code != 0).withColumns(
+        {c.SALES_UNITS: F.when(code == 1, F.col(c.SALES_UNITS) + 1).otherwise(F.col(c.SALES_UNITS)), c.CAT: F.when(code != 2, F.col(c.CAT))}
+    )
+    added = rows.where(code == 3).withColumn(c.SKU, F.concat(c.SKU, F.lit("+")))
+    storage.sink_parquet(rows, left, [c.LOCATION_GROUP])
+    storage.sink_parquet(copy.unionByName(added), right, [c.LOCATION_GROUP])
+    return digests.panel_differences(spark.read.parquet(left), spark.read.parquet(right))
+
+
 @query
 def panel_reconcile(spark, root):
     return prepare.panel_reconcile(panel(spark, root))
@@ -530,7 +559,7 @@ over_panel(
     "categorical_shrinkage",
     rolling.categorical_shrinkage,
     ["categorical_shrinkage_qty_7", "categorical_shrinkage_scale_7"],
-    stored_audited,
+    lambda spark, root: stored_audited(spark, root, [*c.KEY, c.CAT, c.AUDIT_ADJ_UNITS]),
 )
 _trailing("avg_sale_28", rolling.SALE_28)
 _trailing("avg_price_7", rolling.PRICE_7)
@@ -556,7 +585,12 @@ over_panel(
 over_panel("sales_ratio", lambda df: daily.sales_ratio(rolling.trailing_block(df)), ["sales_ratio_7_28", "sales_ratio_28_84"])
 over_panel("stock_ratio", lambda df: daily.stock_ratio(rolling.trailing_block(df)), ["stock_ratio_7_28", "stock_ratio_28_84"])
 over_panel("sale_day_ratio", lambda df: daily.sale_day_ratio(rolling.trailing_block(df)), ["sale_day_ratio_28", "sale_day_ratio_84"])
-over_panel("index_scale", lambda df: daily.index_scale(rolling.trailing_block(df)), ["price_scale_7", "sale_scale_28"], stored_audited)
+over_panel(
+    "index_scale",
+    lambda df: daily.index_scale(rolling.trailing_features(df, rolling.SALE_28 | rolling.PRICE_7)),
+    ["price_scale_7", "sale_scale_28"],
+    lambda spark, root: stored_audited(spark, root, [*c.KEY, c.SALES_UNITS, c.UNIT_RETAIL]),
+)
 over_panel("oos_ratio", lambda df: daily.oos_ratio(rolling.trailing_block(df)), ["oos_ratio_28", "oos_ratio_84"])
 over_panel("shelf_life", daily.shelf_life, ["REV_CUMULATIVE_SOH_SCALE"])
 over_panel(
@@ -620,6 +654,14 @@ def feature_assemble(spark, root):
     return historical_features(written(audited(spark, root).select(*INPUT), "audited"))
 
 
+@query
+def feature_assemble_bucketed(spark, root):
+    """Audit chain and features over a panel table bucketed by pair."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = bucketed.read_by_pair(spark, bucketed.save_by_pair(panel(spark, root), buckets))
+    return historical_features(audit.apply_audit(rows))
+
+
 @query
 def feature_assemble_incremental(spark, root):
     """One day on carried state, the panel as it stood that day."""
@@ -667,6 +709,19 @@ CASCADE_OUTPUT = [
 over_panel("cascade_predict", lambda df: df, CASCADE_OUTPUT, predicted)
 
 
+def given_models() -> dict[str, trees.Ensemble]:
+    return {k: trees.from_dump(dump, models.BASE[k], k in models.LOGISTIC) for k, dump in models.DUMPS.items()}
+
+
+@query
+def cascade_compiled(spark, root):
+    """Scores of the given models, compiled to expressions, and the cascade on them."""
+    scored = trees.score_with_trees(panel(spark, root), given_models())
+    scores = ["binary_pred", "hl_score", "low_pred", "high_pred"]
+    rounded = scored.withColumns({n: F.round(n, 6) for n in scores})
+    return cascade.cascade_predict(rounded).select(*c.KEY, "binary_pred", "low_pred", "high_pred", "hl_score", "step", "orig_pred_low", "orig_pred_high")
+
+
 @query
 def cascade_models(spark, root):
     """The cascade on scores of fitted models, the older nine tenths of each pair as training data."""
@@ -680,13 +735,14 @@ def cascade_models(spark, root):
     train = VectorAssembler(inputCols=features, outputCol="__x").transform(split.split_filter(parts, "train"))
     small = {"featuresCol": "__x", "maxIter": 3, "maxDepth": 3, "seed": 1}
     low = F.col("BINARY_HL_TARGET_CLASSIFICATION") == 1
-    models = {
+    fitted = {
         "binary": GBTClassifier(labelCol="BINARY_TARGET_CLASSIFICATION", **small).fit(train),
         "hl": GBTClassifier(labelCol="BINARY_HL_TARGET_CLASSIFICATION", **small).fit(train),
         "low": GBTRegressor(labelCol="TARGET_REGRESSION", **small).fit(train.where(low)),
         "high": GBTRegressor(labelCol="TARGET_REGRESSION", **small).fit(train.where(~low)),
     }
-    scored = cascade.score_with_models(split.split_filter(parts), models, features)
+    compiled = {key: trees.from_fitted(model, features) for key, model in fitted.items()}
+    scored = trees.score_with_trees(split.split_filter(parts), compiled)
     out = cascade.cascade_predict(scored)
     score = lambda name: F.col(name).between(0, 1).cast("int")
     limits = cascade.Thresholds()
