@@ -57,6 +57,13 @@ def keyed(name: str, ctes: str, source: str, columns: list[str]) -> None:
 keyed("scan_csv_infer", PANEL, "panel", ["CAST(SALES_UNITS AS INT) AS SALES_UNITS", "CAT"])
 keyed("scan_partition", PANEL, "panel WHERE LOCATION_GROUP=2", ["DAY_END_SOH", "LOCATION_GROUP"])
 keyed("scan_glob", PREDICTED, "predicted WHERE step=3", ["orig_pred", "orig_pred_low", "orig_pred_high"])
+keyed("scan_group_folders", PANEL, "panel WHERE LOCATION_GROUP=2", ["LOCATION_GROUP", "DAY_END_SOH"])
+put(
+    "scan_csv_kept",
+    "",
+    """SELECT CASE WHEN l_orderkey%13=0 THEN 'columns' WHEN l_orderkey%11=0 THEN 'value' ELSE 'row' END AS reason,
+  CASE WHEN l_orderkey%13<>0 AND l_orderkey%11=0 THEN 'quantity' END AS field, count(*) AS n_lines FROM lineitem GROUP BY 1, 2""",
+)
 keyed("scan_csv_glob", PREDICTED, "predicted", ["OOS"])
 keyed("sink_parquet", AUDITED, "audited", ["ONHAND_RECORDED", "AUDIT_ADJ_UNITS", "CAT"])
 keyed("rolling_filter", PANEL, f"panel WHERE DATE >= DATE '{DAY_}' - INTERVAL 100 DAY", ["SALES_UNITS"])
@@ -110,6 +117,12 @@ put(
 CAST(lower(string_split(name,'.')[-1]) IN ('csv','gz') AS INT) AS permitted_any_case FROM files""",
 )
 put("file_classify", CLASSIFIED, "SELECT * FROM classified")
+put("intake_stream", CLASSIFIED, "SELECT * FROM classified")
+put(
+    "feeds_by_table",
+    FILES + """, refs AS (SELECT DISTINCT regexp_extract(name, '^[A-Z_]+-[0-9]{4}') AS feed FROM files UNION SELECT feed FROM feeds)""",
+    "SELECT name, refs.feed FROM files LEFT JOIN refs ON refs.feed<>'' AND contains(files.path, refs.feed)",
+)
 put("file_route", ROUTED, "SELECT name, status, target FROM routed")
 
 

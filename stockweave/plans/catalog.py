@@ -12,6 +12,7 @@ from stockweave.plans.feature_store import INPUT, features_of_day, historical_fe
 from stockweave.sources import bucketed, derived, models, storage
 from stockweave.sources.shared import fresh_path, written
 from stockweave.sources.tables import panel, store_lines, table
+from stockweave.streaming import intake as streamed
 
 AS_OF = "2000-06-30"
 RUN_DATE = "20000630"
@@ -126,6 +127,27 @@ def scan_glob(spark, root):
     return layer.select(*c.KEY, "orig_pred", "orig_pred_low", "orig_pred_high")
 
 
+@query
+def scan_group_folders(spark, root):
+    """One group of plain, non-partition folders."""
+    path, rows = fresh_path(spark, "folders"), written(panel(spark, root).select(*c.KEY, c.LOCATION_GROUP, c.END_SOH), "panel")
+    storage.sink_group_folders(rows, path, GROUPS)
+    return storage.scan_group_folders(spark, path).where(F.col(c.LOCATION_GROUP) == 2)
+
+
+@query
+def scan_csv_kept(spark, root):
+    """Order lines as CSV, some cut short, some with text for a number: counts of rows and rejects."""
+    path = fresh_path(spark, "lines")
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    price = F.when(k % 11 == 0, "n/a").otherwise(F.col("l_quantity").cast("int").cast("string"))
+    line = F.concat_ws(",", k, n, F.when(k % 13 == 0, F.lit(None)).otherwise(price), F.concat(F.lit('"a,'), n, F.lit('"')))
+    table(spark, root, "lineitem").select(line.alias("value")).write.text(path)
+    rows, rejects = storage.scan_csv_kept(spark, path, "order_key long, line_no int, quantity int, remark string")
+    kept = rows.agg(F.count(F.lit(1)).alias("n_lines")).select(F.lit("row").alias("reason"), F.lit(None).cast("string").alias("field"), "n_lines")
+    return kept.unionByName(storage.drift(rejects))
+
+
 @query
 def scan_csv_glob(spark, root):
     path = fresh_path(spark, "predictions")
@@ -237,6 +259,24 @@ def file_classify(spark, root):
     return intake.file_classify(files(spark, root))
 
 
+@query
+def feeds_by_table(spark, root):
+    """Files against a reference table of feeds with day and month, and the plain feeds."""
+    rows = files(spark, root).select("path", "name")
+    dated = rows.select(F.regexp_extract("name", "^[A-Z_]+-[0-9]{4}", 0).alias("feed")).distinct()
+    plain = spark.createDataFrame([(f,) for f in intake.FEEDS], "feed string")
+    return intake.matched_by_table(rows, dated.unionByName(plain)).select("name", "feed")
+
+
+@query
+def intake_stream(spark, root):
+    """The classification of all dropped files, taken in as a stream in several batches."""
+    folder, log, checkpoint = (fresh_path(spark, name) for name in ("drop", "log", "stream"))
+    files(spark, root).repartition(4).write.parquet(folder)
+    streamed.run_intake(streamed.listed_files(spark, folder, 1), log, checkpoint)
+    return streamed.read_log(spark, log).drop(streamed.BATCH)
+
+
 @query
 def file_route(spark, root):
     routed = intake.file_route(intake.file_classify(files(spark, root)), "out/success/", "out/error/")
