@@ -3,8 +3,13 @@
 First-order Markov models over the characters of a token are trained from labelled samples:
 strings that the access and hex patterns mark, and digests of row numbers in four spellings,
 are random, in hex digits (model 1) or in a larger alphabet (model 2); long tokens of the
-corpus without any digit are ordinary (model 0), others with digits have no label.  A token whose log-likelihood ratio of either random
-model against the ordinary one reaches a threshold is a further span.
+corpus without any digit, and those whose parts are words, short numbers or words with a short
+number behind, are ordinary (model 0); others have no label.  A token whose log-likelihood
+ratio of either random model against the ordinary one reaches a threshold is a further span.
+
+Neither scores nor threshold move with the size of the corpus: a pair that was not met has a
+share of its row, not a count, and the threshold is one that few ordinary tokens kept from
+training reach.
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockweave.llm.store import stored
+
 # The kinds in their order and their patterns.  Letters of the keywords are
 # spelt in both cases, so that no engine folds other characters into them.
 KINDS = ["assign", "access", "hex", "markov"]
@@ -38,6 +45,9 @@ SIZE = len(ALPHABET)
 TOKEN = "[A-Za-z0-9+/_=-]{16,}"
 LEARN_TOKEN = "[A-Za-z0-9+/_=-]{12,}"
 
+_WORD = "([A-Za-z]{2,}[0-9]{0,4}|[A-Za-z]?[0-9]{1,4})"
+IDENTIFIER = f"^{_WORD}([_/=+-]+{_WORD})*$"
+
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
@@ -83,19 +93,32 @@ def _keep(match: Column, rule: str) -> Column:
     return F.lit(True)
 
 
-def train(docs: DataFrame, text_col: str = "text", generated: int = 2000, smoothing: float = 0.5) -> list[list[float]]:
+def train(
+    docs: DataFrame,
+    text_col: str = "text",
+    generated: int = 2000,
+    smoothing: float = 0.5,
+    unmet: float = 0.02,
+    least: float = 12.0,
+    rate: float = 0.0005,
+) -> tuple[list[list[float]], float]:
     """Log-likelihood ratios of all character pairs, row by row of the alphabet, for each of
-    the two random models.
+    the two random models, and the threshold for their sums.
 
-    Counts cover every distinct token of 12 and more characters of every text.  What comes
-    to the driver is one count per label and pair: at most 3 * 67 * 67 rows.  An empty
-    table leaves the ordinary model uniform.
+    Counts cover every distinct token of 12 and more characters of every text but a tenth of
+    the ordinary ones; of that tenth, a share of ``rate`` at most reaches the threshold, which
+    is ``least`` at least.  The pairs that a row of counts lacks share ``unmet`` of it, however
+    many tokens there are.  What comes to the driver is one count per label and pair, at most
+    3 * 67 * 67 rows, and one number.  An empty table leaves the ordinary model uniform.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
     tokens = docs.select(F.explode(F.regexp_extract_all(text, F.lit(LEARN_TOKEN), F.lit(0))).alias("token"))
     marked = F.when(F.col("token").rlike(f"^{HEX}$"), 1).when(F.col("token").rlike(f"^{ACCESS}$"), 2)
-    marked = marked.when(~F.col("token").rlike("[0-9]"), 0)
+    ordinary = ~F.col("token").rlike("[0-9]") | F.col("token").rlike(IDENTIFIER)
+    # -1: ordinary, but kept for the threshold
+    marked = marked.when(ordinary, F.when(F.pmod(F.xxhash64("token"), F.lit(10)) == 0, -1).otherwise(0))
+    tokens = stored(tokens.distinct().select("token", marked.alias("model")).where("model is not null"), "tokens")
     digest = F.sha2(F.col("id").cast("string"), 256)
     code = F.base64(F.unhex(digest))
     sample = lambda token, model: F.struct(token.alias("token"), F.lit(model).alias("model"))
@@ -109,7 +132,7 @@ def train(docs: DataFrame, text_col: str = "text", generated: int = 2000, smooth
             )
         ).alias("made")
     )
-    samples = tokens.distinct().select("token", marked.alias("model")).where("model is not null").unionByName(made.select("made.*"))
+    samples = tokens.where("model >= 0").unionByName(made.select("made.*"))
     pairs = samples.select(
         "model",
         F.explode(F.expr("transform(sequence(1, length(token) - 1), i -> substring(token, i, 2))")).alias("pair"),
@@ -119,12 +142,22 @@ def train(docs: DataFrame, text_col: str = "text", generated: int = 2000, smooth
     def logs(model: int) -> list[float]:
         out = []
         for a in ALPHABET:
-            row = [counts.get((model, a + b), 0) + smoothing for b in ALPHABET]
+            row = [counts.get((model, a + b), 0) for b in ALPHABET]
+            row = [x + smoothing + unmet * sum(row) / SIZE for x in row]
             out += [math.log(x / sum(row)) for x in row]
         return out
 
-    ordinary = logs(0)
-    return [[r - o for r, o in zip(logs(model), ordinary)] for model in (1, 2)]
+    base = logs(0)
+    ratios = [[r - o for r, o in zip(logs(model), base)] for model in (1, 2)]
+    held = tokens.where("model = -1 and length(token) >= 16").select(F.expr(_best("token", ratios)).alias("score"))
+    reached = held.agg(F.percentile_approx("score", 1 - rate, 10_000)).first()[0]
+    return ratios, max(least, least if reached is None else reached + 1e-9)
+
+
+def _best(token: str, ratios: list[list[float]]) -> str:
+    """SQL for the better of a token's two ratios; each table is folded to one literal."""
+    tables = [f"cast(split('{','.join(f'{x:.5f}' for x in table)}', ',') as array<double>)" for table in ratios]
+    return f"greatest({', '.join(_score(token, table) for table in tables)})"
 
 
 def _score(token: str, ratios: str) -> str:
@@ -133,7 +166,7 @@ def _score(token: str, ratios: str) -> str:
     return f"aggregate(sequence(2, length({token})), 0D, (s, i) -> s + {ratios}[{at('i - 1')} * {SIZE} + {at('i')}])"
 
 
-def with_spans(docs: DataFrame, ratios: list[list[float]], text_col: str = "text", threshold: float = 12.0) -> DataFrame:
+def with_spans(docs: DataFrame, ratios: list[list[float]], threshold: float = 12.0, text_col: str = "text") -> DataFrame:
     """``docs`` with one more column ``secret_spans``: array of (start, kind, end), by start
     and kind; kind indexes KINDS, places are code points, ends exclusive.
 
@@ -141,9 +174,7 @@ def with_spans(docs: DataFrame, ratios: list[list[float]], text_col: str = "text
     characters with a letter and a digit that touch no span of the fixed patterns.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # each table is folded to one literal by the optimizer
-    tables = [f"cast(split('{','.join(f'{x:.5f}' for x in table)}', ',') as array<double>)" for table in ratios]
-    score = f"greatest({', '.join(_score('t', table) for table in tables)})"
+    score = _best("t", ratios)
     rich = "t rlike '[0-9]' and t rlike '[A-Za-z]'"
     base = F.concat(
         _spans(text, ASSIGN, 0, "value"), _spans(text, ACCESS, 1, ""), _spans(text, HEX, 2, "")
@@ -171,7 +202,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     Two passes over the texts (training, scan), one shuffle of distinct tokens.  Repeated
     rows give repeated results; other columns are not carried.
     """
-    found = with_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), train(docs, text_col))
+    found = with_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), *train(docs, text_col))
     spans = F.col("secret_spans")
     of = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
     return found.select(
@@ -192,7 +223,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text", leng
     """
     columns = docs.columns
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(text_col).alias("text"))
-    found = with_spans(inner, train(docs, text_col))
+    found = with_spans(inner, *train(docs, text_col))
     pieces = F.expr(
         f"""aggregate(secret_spans, struct(0 as at, cast(array() as array<string>) as out),
           (a, s) -> case when s.start >= a.at

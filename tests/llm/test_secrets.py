@@ -54,3 +54,23 @@ def test_redaction_keeps_columns_and_the_rest_of_the_text(odd, empty):
     assert row["text"] == 'x [SECRET]" [SECRET] [SECRET]' and row["n_chars"] == len(row["text"])
     assert out.where("doc_id = 1").first()["text"] == odd.where("doc_id = 1").first()["text"]
     assert secret_scan.redact(empty).count() == 0 and secret_scan.scan(empty).count() == 0
+
+
+def test_scores_do_not_move_with_the_number_of_tokens(spark):
+    """Names with digits stay under the threshold, and keys above it, whatever the corpus' size."""
+    rng = random.Random(5)
+    parts = ["customer", "record", "window", "enter", "prise", "vaccin", "ation", "covid", "invoice", "summary", "data", "set", "line", "view"]
+    names = ["customer_record_v2", "windows10-enterprise", "covid19vaccination", "invoice2024summary", "dataset_2019-view2"]
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(28)) + "a1" for _ in range(20)]
+
+    def scores(count):
+        made = {"".join(rng.choice(parts) for _ in range(rng.randint(3, 6))) + rng.choice(["", "", "2", "_v3", "19"]) for _ in range(count)}
+        docs = spark.createDataFrame([(" ".join(made),)], "text string")
+        ratios, threshold = secret_scan.train(docs)
+        asked = spark.createDataFrame([(x,) for x in names + keys], "t string")
+        found = {r["t"]: r["s"] for r in asked.selectExpr("t", secret_scan._best("t", ratios) + " as s").collect()}
+        assert all(found[x] < threshold for x in names) and sum(found[x] >= threshold for x in keys) >= 17
+        return found
+
+    few, many = scores(2_000), scores(100_000)
+    assert max(abs(few[x] - many[x]) for x in names) < 3
