@@ -49,36 +49,37 @@ class Trailing:
     kind: str = "sum"  # sum | count | mean
 
 
+#: A running total carries the number of its values in the low bits.
+COUNT_BITS = 20
+
+
 def trailing(df: DataFrame, measures: dict[str, Column], wanted: dict[str, Trailing]) -> DataFrame:
     """Add the aggregates in ``wanted`` (output name -> spec) over (SKU, LOCATION) by DATE.
 
-    Nulls are skipped; a sum or mean over a frame without any value is null.  Helper columns are dropped at once, since the
-    width of the rows is what the windows above pay for.
+    Nulls are skipped; a sum or mean over a frame without any value is null.  Sum and number
+    of a measure's values travel in one whole number, x * 2**20 + 1 for each value, so that
+    both cost one running total and one lag a frame: a pair has fewer than 2**20 days, and
+    sums stay under 2**43 (beyond, the session's arithmetic raises an error).  Helper columns
+    are dropped at once, since the width of the rows is what the windows above pay for.
     """
     order, history = pair_order(), pair_history()
     frames = sorted({(t.measure, t.rows) for t in wanted.values()})
-    summed = {t.measure for t in wanted.values() if t.kind != "count"}
-    counted = {t.measure for t in wanted.values()}
-
-    running = {f"__s_{m}": F.sum(measures[m]).over(history) for m in sorted(summed)}
-    running |= {f"__n_{m}": F.count(measures[m]).over(history) for m in sorted(counted)}
+    one = F.lit(1 << COUNT_BITS).cast("bigint")
 
-    zero = F.lit(0)
+    running = {f"__r_{m}": F.sum(measures[m].cast("bigint") * one + F.lit(1)).over(history) for m in sorted({m for m, _ in frames})}
+    zero = F.lit(0).cast("bigint")
     recent = {}
     for m, n in frames:
-        for total in (f"__s_{m}", f"__n_{m}"):
-            if total in running:
-                now, before = F.col(total), F.lag(total, n).over(order)
-                recent[f"{total}_{n}"] = F.coalesce(now, zero) - F.coalesce(before, zero)
+        now, before = F.col(f"__r_{m}"), F.lag(f"__r_{m}", n).over(order)
+        recent[f"__r_{m}_{n}"] = F.coalesce(now, zero) - F.coalesce(before, zero)
 
     def output(t: Trailing) -> Column:
+        both = F.col(f"__r_{t.measure}_{t.rows}")
+        values = F.pmod(both, one)
+        total = F.shiftright(both - values, COUNT_BITS)
         if t.kind == "mean":
-            return F.try_divide(
-                F.col(f"__s_{t.measure}_{t.rows}").cast("double"),
-                F.col(f"__n_{t.measure}_{t.rows}").cast("double"),
-            )
-        values = F.col(f"__n_{t.measure}_{t.rows}")
-        return values if t.kind == "count" else F.when(values > 0, F.col(f"__s_{t.measure}_{t.rows}"))
+            return F.try_divide(total.cast("double"), values.cast("double"))
+        return values if t.kind == "count" else F.when(values > 0, total)
 
     out = df.withColumns(running).withColumns(recent)
     out = out.withColumns({name: output(t) for name, t in wanted.items()})
