@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 from stockweave.llm import hashing
 
-WALKS = 4
+WALKS = 8
 #: Tables and sampled coordinates of each; the tests measure what they find.
-TABLES = 64
+TABLES = 128
 COORDINATES = 3
 #: Windows that are embedded together.
 _TOGETHER = 4096
