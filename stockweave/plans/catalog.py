@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -221,18 +223,18 @@ def merge_consolidated(spark, root):
 
 @query
 def file_catalog(spark, root):
-    """Folders of the catalogue with whether they hold files; names and lengths of part files
-    are not the same twice, so they are checked, not returned."""
-    found = storage.file_catalog(spark, _stored_layers(spark, root)).where(F.col("name").endswith(".parquet"))
-    place = F.col("path")
-    return found.groupBy(
-        F.regexp_extract(place, f"{c.LOCATION_GROUP}=([^/]+)/", 1).cast("int").alias(c.LOCATION_GROUP),
-        F.regexp_extract(place, "layer=([^/]+)/", 1).alias("layer"),
-    ).agg(
-        (F.count(F.lit(1)) > 0).alias("has_files"),
-        F.bool_and(F.col("length") > 0).alias("has_content"),
-        F.bool_and(F.endswith(place, F.concat(F.lit("/"), "name"))).alias("path_ends_in_name"),
-        F.bool_and(F.col("bucket") != "").alias("has_bucket"),
+    """Folders of stored layers, one file each, with the number of their files and whether all
+    have content and the bucket of the place they were written to; names and lengths of part
+    files are not the same twice."""
+    place = fresh_path(spark, "layers")
+    layers = prepare.with_location_group(cascade.prediction_layers(predicted(spark, root)))
+    layers.repartition(c.LOCATION_GROUP, "layer").write.partitionBy(c.LOCATION_GROUP, "layer").parquet(place)
+    bucket = re.match(r"^(?:[a-z0-9]+://(?=[^/]))?(?:[a-z0-9]+:)?/*([^/]+)/", place)[1]
+    found = storage.file_catalog(spark, place).where(F.col("name").endswith(".parquet"))
+    return found.groupBy(F.regexp_extract("path", f"({c.LOCATION_GROUP}=[^/]+/layer=[^/]+)/[^/]+$", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.bool_and(F.col("length") > 0).alias("have_content"),
+        F.bool_and(F.col("bucket") == bucket).alias("in_bucket"),
     )
 
 
