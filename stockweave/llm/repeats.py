@@ -10,7 +10,9 @@ windows mostly share theirs: a text falls into runs of windows with one key, one
    equal content form a class with the earliest as its representative.
 3. Representatives are dealt to shards by key; the operator's index in each shard tells
    which windows of a representative occur earlier.  A key with very many different
-   contents is split: its windows take the smallest gram that is not such a hot one.
+   contents is split: its windows take the smallest gram that is not hot here or was before.
+   A window whose grams are all hot, and after some rounds every one that is left, stands for
+   itself: equal ones are a class, and no two classes of them need to meet.
 4. Members of a class that come after the representative repeat as a whole, the others as
    the representative does.  The spans are joined back to their texts.
 """
@@ -174,8 +176,10 @@ def _batch(key, ids, start, n, content) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["key", "id", "start", "n", "digest", "content"])
 
 
-def split_hot(reps: DataFrame, hot: list[int], unit: Unit) -> DataFrame:
-    """Cut representatives of hot keys into runs keyed by their smallest gram that is not hot."""
+def split_hot(reps: DataFrame, hot: list[int], unit: Unit, alone: bool = False) -> DataFrame:
+    """Cut representatives of hot keys into runs keyed by their smallest gram that is not in
+    ``hot``, which has the hot grams of all rounds.  Windows without any such gram, or all if
+    ``alone``, become runs of one window, keyed by their content."""
     taken = np.array(hot, np.int64).view(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,12 +187,19 @@ def split_hot(reps: DataFrame, hot: list[int], unit: Unit) -> DataFrame:
             parents, ids, begin = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for first, data, offsets in hashing.chunks(batch.column(3)):
                 row, start, n, key, starts, ends = unit.runs(data, offsets, taken)
-                content = [unit.cut(data, offsets, starts, ends, *map(int, x)) for x in zip(row, start, n)]
-                own = first + row
-                out = _batch(hashing.mix(key ^ TOP).view(np.int64), ids[own], begin[own] + start, n, content)
-                yield pa.RecordBatch.from_arrays(
-                    [parents.take(pa.array(own)), pa.array(start.astype(np.int64)), *out.columns], ["parent", "shift", *out.schema.names]
-                )
+                single = np.full(len(key), True) if alone else key >= TOP
+                times = np.where(single, n, 1)
+                at = np.repeat(np.arange(len(key)), times)
+                step = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+                row, start, n, key, single = row[at], start[at] + step, np.where(single, 1, n)[at], key[at].view(np.int64), single[at]
+                for part in np.array_split(np.arange(len(at)), max(1, len(at) // 4096)):
+                    content = [unit.cut(data, offsets, starts, ends, int(row[i]), int(start[i]), int(n[i])) for i in part]
+                    itself = [int.from_bytes(_digest(x)[:8], "little", signed=True) if single[i] else int(key[i]) for i, x in zip(part, content)]
+                    own = first + row[part]
+                    out = _batch(itself, ids[own], begin[own] + start[part], n[part], content)
+                    yield pa.RecordBatch.from_arrays(
+                        [parents.take(pa.array(own)), pa.array(start[part].astype(np.int64)), *out.columns], ["parent", "shift", *out.schema.names]
+                    )
 
     rows = reps.select("digest", "id", "start", "content")
     return rows.mapInArrow(run, f"parent binary, shift long, {SEGMENT}")
@@ -212,7 +223,7 @@ def _expanded(runs: DataFrame, classes: DataFrame, verdicts: DataFrame, later: C
 
 
 def verdicts(
-    runs: DataFrame, classes: DataFrame, unit: Unit, later: Column, shard: Callable, shard_windows: int, depth: int = 3
+    runs: DataFrame, classes: DataFrame, unit: Unit, later: Column, shard: Callable, shard_windows: int, depth: int = 3, before: tuple[int, ...] = ()
 ) -> DataFrame:
     """(digest, off, n): stretches of windows of each class's representative that occur earlier."""
     spark = runs.sparkSession
@@ -229,9 +240,11 @@ def verdicts(
     if not hot:
         return out
     warm = classes.join(F.broadcast(spark.createDataFrame([(k,) for k in hot], "key long")), "key", "left_semi")
-    parts = stored(split_hot(warm, hot, unit), "parts")
+    # at most 2000 grams a round
+    taken = (*before, *(k for k in hot if k >= 0))
+    parts = stored(split_hot(warm, list(taken), unit, depth == 1), "parts")
     inner = stored(classes_of(parts), "part-classes")
-    found = verdicts(parts, inner, unit, later, shard, shard_windows, depth - 1)
+    found = verdicts(parts, inner, unit, later, shard, shard_windows, depth - 1, taken)
     back = _expanded(parts, inner, found, later, ["parent", "shift"])
     return out.unionByName(back.select(F.col("parent").alias("digest"), (F.col("shift") + F.col("off")).alias("off"), "n"))
 
