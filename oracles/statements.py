@@ -508,7 +508,7 @@ put(
     "file_catalog",
     PREDICTED,
     " UNION ALL ".join(
-        f"SELECT DISTINCT 'LOCATION_GROUP=' || LOCATION_GROUP || '/layer={n}' AS folder, 1 AS n_files, true AS have_content, true AS in_bucket FROM predicted {w}"
+        f"SELECT DISTINCT 'LOCATION_GROUP=' || LOCATION_GROUP || '/layer={n}' AS folder, CAST(1 AS BIGINT) AS n_files, true AS have_content, true AS in_bucket FROM predicted {w}"
         for n, w in _catalog.items()
     ),
 )
