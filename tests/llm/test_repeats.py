@@ -113,32 +113,6 @@ def test_hot_keys_are_split_without_loss(spark):
     assert got == words_brute(rows)
 
 
-def test_a_passage_of_many_texts_gathers_nowhere(spark):
-    """2,000 distinct texts around one passage of 60 words: after the rounds no key has more
-    than a few classes, and the last round leaves one each."""
-    rng = random.Random(9)
-    word = lambda: "".join(rng.choice("abcdef") for _ in range(6))
-    passage = " ".join(word() for _ in range(60))
-    rows = [(k, f"{' '.join(word() for _ in range(9))} {passage} {' '.join(word() for _ in range(9))}") for k in range(2000)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    unit = repeats.Unit(words=True, width=substring_dedup.WIDTH, gram=substring_dedup.GRAM)
-    texts = repeats._rows(docs, "doc_id", "text")
-    classes = repeats.stored(repeats.classes_of(repeats.segments(texts, repeats.shared_keys(texts, unit), unit)), "classes")
-    assert classes.groupBy("key").count().agg({"count": "max"}).first()[0] > 500
-    taken = []
-    for left in (2, 1, 0):
-        hot = [r["key"] for r in classes.groupBy("key").count().where("count > 64").collect()]
-        taken += hot
-        warm = classes.join(spark.createDataFrame([(k,) for k in hot], "key long"), "key", "left_semi") if hot else classes.where("false")
-        classes = repeats.stored(repeats.classes_of(repeats.split_hot(warm, taken, unit, left == 0).drop("parent", "shift")), "classes")
-        if classes.isEmpty():
-            break
-    assert classes.isEmpty() or classes.groupBy("key").count().agg({"count": "max"}).first()[0] <= 64
-    few = docs.where("doc_id < 300")
-    got = sorted((str(r["doc_id"]), r["n"], r["n_removed"], hashlib.sha256(r["kept"]).hexdigest()) for r in substring_dedup.substring_dedup(few).collect())
-    assert got == words_brute(rows[:300])
-
-
 def test_stretches():
     flags = np.array([1, 1, 0, 1, 1], bool)
     cell = pd.DataFrame({"digest": [b"a", b"b"]})
