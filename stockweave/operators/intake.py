@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.sources.shared import written
+
 # Feed names, extensions, date formats and holidays of the intake.
 REQUIRED_FEEDS = ["FD_STORE_INV"]
 OTHER_FEEDS = [
@@ -92,32 +94,37 @@ def matched_feeds(files: DataFrame, feeds: list[str] = FEEDS) -> DataFrame:
     return files.select("*", F.explode_outer(hits).alias("feed"))
 
 
-def matched_by_table(files: DataFrame, feeds: DataFrame, q: int = 6) -> DataFrame:
+def matched_by_table(files: DataFrame, feeds: DataFrame, q: int = 6, broadcast_chars: int = 500_000) -> DataFrame:
     """``matched_feeds`` against a table (feed) of any size, through an index of q-grams.
 
     Each feed is entered under one of its q-grams, the one that fewest paths hold (the whole
     feed, if it is shorter), and each path is looked up under all of its own: an equi-join in
     place of a comparison of all pairs.  What meets is compared; a pair meets once.  An empty
     or null feed matches nothing; a null path has no feed.
+
+    Both joins state their form: Spark takes the grams of the paths for as small as the paths
+    themselves and would broadcast them.  The feeds are measured: up to ``broadcast_chars`` in all
+    their grams go to the paths, beyond that both sides are dealt out by gram.
     """
-    wanted = feeds.where(F.length("feed") > 0).select("feed").distinct()
+    wanted = written(feeds.where(F.length("feed") > 0).select("feed").distinct(), "feeds")
     grams = lambda x, n: F.transform(F.sequence(F.lit(1), F.length(x) - n + 1), lambda i: F.substring(x, i, F.lit(n)))
     # at most q lengths
-    sizes = [r[0] for r in wanted.select(F.least(F.length("feed"), F.lit(q))).distinct().collect()]
-    held = None
+    lengths = wanted.groupBy(F.least(F.length("feed"), F.lit(q))).agg(F.sum(F.length("feed"))).collect()
+    if not lengths:
+        return files.withColumn("feed", F.lit(None).cast("string"))
+    sizes = [r[0] for r in lengths]
+    form = "broadcast" if sum(r[1] for r in lengths) <= broadcast_chars else "merge"
+    held = own = None
     for n in sizes:
         long = files.where(F.length("path") >= n).select("*", F.explode(F.array_distinct(grams(F.col("path"), n))).alias("__gram"))
         held = long if held is None else held.unionByName(long)
-    if held is None:
-        return files.withColumn("feed", F.lit(None).cast("string"))
-    own = None
-    for n in sizes:
         part = wanted.where(F.least(F.length("feed"), F.lit(q)) == n).select("feed", F.explode(grams(F.col("feed"), n)).alias("__gram"))
         own = part if own is None else own.unionByName(part)
-    often = held.select("__gram").join(own.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
-    counted = own.join(often, "__gram", "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
+    met = held.select("__gram").join(own.select("__gram").distinct().hint(form), "__gram", "left_semi")
+    often = met.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+    counted = own.join(often.hint(form), "__gram", "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
     anchors = counted.groupBy("feed").agg(F.min(F.struct("__n", "__gram"))["__gram"].alias("__gram"))
-    found = held.join(anchors, "__gram").where(F.contains("path", F.col("feed"))).select(*files.columns, "feed")
+    found = written(held.join(anchors.hint(form), "__gram").where(F.contains("path", F.col("feed"))).select(*files.columns, "feed"), "found")
     rest = files.join(found.select("path").distinct(), "path", "left_anti").select(*files.columns, F.lit(None).cast("string").alias("feed"))
     return found.unionByName(rest)
 

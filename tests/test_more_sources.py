@@ -70,6 +70,20 @@ def test_many_names_against_many_feeds(spark):
     assert found.count() >= 10_000 and found.where(~F.contains("path", F.col("feed"))).isEmpty()
 
 
+@pytest.mark.parametrize("chars", [500_000, 0])
+def test_the_grams_of_the_paths_are_never_broadcast(spark, tmp_path, monkeypatch, chars):
+    spark.range(2000).select(F.concat(F.lit("in/FD_"), F.hex("id"), F.lit("-"), F.col("id") % 50).alias("path")).write.parquet(str(tmp_path / "names"))
+    names = spark.read.parquet(str(tmp_path / "names"))
+    feeds = spark.createDataFrame([(f"FD_{k:X}",) for k in range(0, 3000, 7)] + [("FD",), ("-4",)], "feed string")
+    plans, write = [], getattr(intake, "written", None)
+    monkeypatch.setattr(intake, "written", lambda df, name: plans.append(df) or write(df, name), raising=False)
+    found = intake.matched_by_table(names, feeds, **({} if chars else {"broadcast_chars": 0}))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in [*plans, found]]
+    assert not any("BuildLeft" in plan for plan in plans)
+    assert chars or not any("BroadcastHashJoin" in plan for plan in plans[:-1])
+    assert rows_of(found) == rows_of(names.join(feeds, F.contains("path", F.col("feed")), "left"))
+
+
 def test_a_cut_run_started_again_logs_each_file_once(spark, tmp_path):
     folder, log, checkpoint = (str(tmp_path / n) for n in ("drop", "log", "checkpoint"))
     made = [(f"drop/FD_SALES-0101200{k}-{k}.csv", f"FD_SALES-0101200{k}-{k}.csv") for k in range(6)]
