@@ -114,17 +114,18 @@ def distance(item: list[bytes], text: list[bytes]) -> int:
 
 
 def _sorted(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys in order with their owners, and a table of low bits that spares most lookups."""
+    """Keys in order with their owners, and a table of low bits that spares most lookups, of 16 to
+    32 bytes a key up to 4 MB."""
     order = np.argsort(keys, kind="stable")
-    low = np.zeros(1 << 16, bool)
-    low[(keys & np.uint64(0xFFFF)).astype(np.int64)] = True
+    low = np.zeros(1 << min(22, max(8, len(keys).bit_length() + 4)), bool)
+    low[(keys & np.uint64(len(low) - 1)).astype(np.int64)] = True
     return keys[order], owners[order], low
 
 
 def _lookup(table: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place in ``keys``, owner) of all equal pairs."""
     known, owners, low = table
-    at = np.flatnonzero(low[(keys & np.uint64(0xFFFF)).astype(np.int64)])
+    at = np.flatnonzero(low[(keys & np.uint64(len(low) - 1)).astype(np.int64)])
     begin, end = (np.searchsorted(known, keys[at], side=side) for side in ("left", "right"))
     n = end - begin
     inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -153,8 +154,8 @@ class Items:
             if n < limits.exact_below or limits.needed(n) < 1:
                 self.exact[n] = _sorted(np.concatenate([hashing.grams(r, n) for r in rows]), own)
             else:
-                keys = table_keys(rows)
-                self.tables[n] = [_sorted(keys[:, t], own) for t in range(TABLES)]
+                # the keys hold the number of their table, so one lookup serves all tables
+                self.tables[n] = _sorted(table_keys(rows).ravel(), np.repeat(own, TABLES))
         # listed triples of the long items, each with the lengths of the items that have it
         long = [(np.unique(np.concatenate([self.triples[i] for i in by_length[n]])), n) for n in self.tables]
         flat = np.concatenate([*(t for t, _ in long), np.zeros(0, np.uint64)])
@@ -229,9 +230,8 @@ def match(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int
             r, s = rows[a : a + _TOGETHER], begin[a : a + _TOGETHER]
             place = s[:, None] + np.arange(n)
             symbols = np.where(place < first[r + 1][:, None], hashes[np.minimum(place, len(hashes) - 1)], np.uint64(0))
-            keys = table_keys(symbols)
-            met = [_lookup(items.tables[n][t], keys[:, t]) for t in range(TABLES)]
-            met = np.unique(np.concatenate([np.stack(m, axis=1) for m in met]), axis=0)
+            window, owner = _lookup(items.tables[n], table_keys(symbols).ravel())
+            met = np.unique(np.stack([window // TABLES, owner], axis=1), axis=0)
             pairs.append(np.c_[r[met[:, 0]], met[:, 1], s[met[:, 0]]])
     pairs = np.concatenate(pairs)
     if not len(pairs):

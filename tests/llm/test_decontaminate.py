@@ -89,3 +89,14 @@ def test_short_items_and_limits(spark):
         (1, rows[0][1]), (3, rows[2][1]), (5, ""), (6, "alphabeta"), (8, "alpha")
     ]
     assert decontaminate.clean(docs, bench.where("false")).count() == len(rows)
+
+
+def test_the_index_of_items_is_small_whatever_their_lengths():
+    import tracemalloc
+
+    texts = [" ".join(f"w{n}x{i}" for i in range(n)).encode() for n in range(8, 60)]
+    tracemalloc.start()
+    items = decontaminate.Items(list(range(len(texts))), texts, LIMITS)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(items.tables) == 52 and held < 20_000_000
