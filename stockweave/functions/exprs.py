@@ -13,6 +13,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def half_up(x: Column) -> Column:
+    """A double rounded to a whole one, halves away from zero: the value of ``round(x)``, which
+    goes through a decimal for each row.  ``x`` less its nearest whole number is exact."""
+    near = F.rint(x)
+    rest = x - near
+    return F.when((rest == 0.5) & (x > 0), near + 1).when((rest == -0.5) & (x < 0), near - 1).otherwise(near)
+
+
 def fixed_ratio(num: Column, den: Column, digits: int = 2) -> Column:
     """num / den rounded to ``digits`` places; null when den is 0 or either is null."""
     scale = float(10**digits)

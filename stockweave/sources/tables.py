@@ -7,16 +7,21 @@ with the tables; nothing is a literal sample.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockweave import columns as c
+from stockweave.functions.exprs import half_up
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+def brand_number(brand: Column) -> Column:
+    return F.substring(brand, 7, 10).cast("int")
+
+
 def store_lines(spark: SparkSession, root: str) -> DataFrame:
     """One row per order line with its SKU, LOCATION and DATE.
 
@@ -36,9 +41,9 @@ def store_lines(spark: SparkSession, root: str) -> DataFrame:
             F.col("p_brand").alias(c.SKU),
             (F.col("s_nationkey") * 10).cast("int").alias(c.LOCATION),
             F.col("l_shipdate").cast("date").alias(c.DATE),
-            F.substring("p_brand", 7, 10).cast("int").alias("brand_no"),
+            brand_number(F.col("p_brand")).alias("brand_no"),
             F.col("l_quantity").cast("bigint").alias("units"),
-            F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+            half_up(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
             F.col("l_returnflag").alias("return_flag"),
             F.col("l_linestatus").alias("line_status"),
             F.col("l_linenumber").alias("line_no"),
@@ -48,7 +53,13 @@ def store_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, root: str) -> DataFrame:
-    """Daily inventory panel, one row per (SKU, LOCATION, DATE)."""
+    """Daily inventory panel, one row per (SKU, LOCATION, DATE).
+
+    The distinct orders make the lines be grouped by key and order first, where hardly any
+    two fall together.  So the lines are dealt out before that, as they are: grouped where
+    they are read, a task holds a row of sums for each line of its file split and spills.
+    The number of the brand is cut from the SKU afterwards, once a panel row.
+    """
     returned = F.col("return_flag") == "R"
     units, line_no = F.col("units"), F.col("line_no")
 
@@ -56,7 +67,8 @@ def panel(spark: SparkSession, root: str) -> DataFrame:
         value = amount if when is None else F.when(when, amount).otherwise(F.lit(0))
         return F.sum(value).cast("bigint")
 
-    day = store_lines(spark, root).groupBy(*c.KEY, "brand_no").agg(
+    lines = store_lines(spark, root).repartition(*c.KEY, "order_key")
+    day = lines.groupBy(*c.KEY).agg(
         F.count_distinct("order_key").alias(c.SALES_COUNT),
         total(units, ~returned).alias(c.GROSS_SALES),
         total(-units, returned).alias(c.RETURN_UNITS),
@@ -81,7 +93,7 @@ def panel(spark: SparkSession, root: str) -> DataFrame:
     )
     begin = F.col(c.END_SOH) - net_in
     audited = F.col("handled") % 10 == 0
-    code = F.col("brand_no")
+    code = brand_number(F.col(c.SKU))
     return stock.select(
         *c.KEY,
         location_group(F.col(c.LOCATION)).alias(c.LOCATION_GROUP),

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockweave import columns as c
+from stockweave.functions.exprs import half_up
 from stockweave.functions.windows import Trailing, trailing
 from stockweave.operators import audit, cascade, daily, intake, metrics, prepare, split, state
 from stockweave.plans.feature_store import historical_features, incremental_features
@@ -249,3 +250,56 @@ def test_ship_date_cells_parse(spark):
     storage.sink_csv(text, path)
     back = storage.scan_csv(spark, path, "SHIPMENT_XID bigint, ACTUAL_ARRIVAL date", dateFormat="dd-MMM-yy")
     assert sorted(map(tuple, back.collect())) == [(1, datetime.date(2023, 7, 4)), (2, None)]
+
+
+def test_half_up_is_round(spark):
+    """Halves, values next to them and whole ones beyond 2**52, both signs."""
+    values = [0.0, 0.5, 1.5, 2.5, 0.49999999999999994, 0.5000000000000001, 1234567.5, 4503599627370495.5, 2.0**52 + 1, 1e18]
+    values += [n / 8 for n in range(200)] + [n / 100 * 100 for n in range(9000, 9200)]
+    cells = spark.createDataFrame([(s * v,) for v in values for s in (1.0, -1.0)] + [(None,)], "x double")
+    whole = cells.select("x", F.round("x").cast("bigint").alias("a"), half_up(F.col("x")).cast("bigint").alias("b"))
+    assert whole.where(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+
+
+def _star(spark, lines):
+    root = fresh_path(spark, "star")
+    spark.createDataFrame([(1, "Brand#12"), (2, "Brand#34"), (3, None)], "p_partkey long, p_brand string").write.parquet(f"{root}/part.parquet")
+    spark.createDataFrame([(1, 3), (2, 4)], "s_suppkey long, s_nationkey int").write.parquet(f"{root}/supplier.parquet")
+    schema = (
+        "l_partkey long, l_suppkey long, l_orderkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    )
+    spark.createDataFrame(lines, schema).write.parquet(f"{root}/lineitem.parquet")
+    return root
+
+
+def test_panel_counts_repeated_and_missing_orders(spark):
+    rng = random.Random(11)
+    days = [datetime.datetime(2023, 1, d) for d in (1, 2)] + [None]
+    lines = [
+        (rng.choice([1, 2, 3, 4, None]), rng.choice([1, 2]), rng.choice([5, 6, 7, None]), rng.randint(1, 7), float(rng.randint(1, 9)),
+         rng.choice([1.25, 10.005, 99.99]), rng.choice(["R", "A", "N"]), rng.choice(["F", "O"]), rng.choice(days))
+        for _ in range(400)
+    ]
+    brands, stores = {1: "Brand#12", 2: "Brand#34", 3: None}, {1: 30, 2: 40}
+    orders, units = {}, {}
+    for part, supplier, order, _, quantity, _, flag, _, when in lines:
+        if part in brands:
+            key = brands[part], stores[supplier], when and when.date()
+            orders.setdefault(key, set()).update({order} - {None})
+            units[key] = units.get(key, 0) + int(-quantity if flag == "R" else quantity)
+    rows = panel(spark, _star(spark, lines)).collect()
+    assert {(r.SKU, r.LOCATION, r.DATE): r[c.SALES_COUNT] for r in rows} == {k: len(v) for k, v in orders.items()}
+    assert {(r.SKU, r.LOCATION, r.DATE): r[c.SALES_UNITS] for r in rows} == units
+    assert len(rows) == len(orders)
+    assert {(r.SKU, r[c.CAT], r[c.DEPT], r[c.LOB]) for r in rows} == {
+        ("Brand#12", "C2", "D0", "L0"), ("Brand#34", "C4", "D1", "L0"), (None, None, None, None)
+    }
+
+
+def test_lines_are_dealt_out_before_they_are_grouped(spark, small):
+    """Else a task that reads a large split holds sums for each of its lines."""
+    plan = panel(spark, small)._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = next(i for i, step in enumerate(plan) if "REPARTITION_BY_COL" in step)
+    assert not [step for step in plan[dealt:] if "Aggregate" in step]
+    assert any("Aggregate" in step for step in plan[:dealt])
